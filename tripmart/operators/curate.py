@@ -31,7 +31,7 @@ from tripmart.schemas import (
 )
 
 
-def money_columns(df: DataFrame) -> list[Column]:
+def money_columns() -> list[Column]:
     """The nine null-defaulted money/distance columns (after the id columns)."""
     cols = [money("trip_miles").alias("trip_miles")]
     cols.append(F.col("trip_time").try_cast("int").alias("trip_time_seconds"))
@@ -87,7 +87,7 @@ def curate_trips(raw: DataFrame, use_cbd_fee: bool = False) -> DataFrame:
         *[F.col(c).try_cast("timestamp").alias(c) for c in TIMESTAMP_COLUMNS],
         F.col("PULocationID").try_cast("int").alias("PULocationID"),
         F.col("DOLocationID").try_cast("int").alias("DOLocationID"),
-        *money_columns(raw),
+        *money_columns(),
         *flag_columns(),
         cbd.alias("cbd_congestion_fee"),
         *[e.alias(n) for n, e in cal.items()],

@@ -96,6 +96,14 @@ raw_trips AS (
   FROM raw_base
 )"""
 
+METRICS = {
+    "trip_duration_minutes": dec("trip_time / 60.0::DOUBLE"),
+    "total_fare": dec(FARE_SUM),
+    "total_amount": dec(FARE_SUM + " + " + amt("tips")),
+    "avg_speed_mph": dec("CASE WHEN trip_time > 0 THEN trip_miles / (trip_time / 3600.0::DOUBLE) END"),
+    "is_airport_trip": "coalesce(airport_fee, 0.0::DOUBLE) > 0",
+}
+
 CURATED_CTE = f"""
 curated AS (
   SELECT hvfhs_license_num, dispatching_base_num, originating_base_num,
@@ -110,11 +118,7 @@ curated AS (
     CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour,
     coalesce(dayname(pickup_datetime), 'Unknown') AS day_of_week,
     coalesce(dayofweek(pickup_datetime) IN (0, 6), false) AS is_weekend,
-    {dec("trip_time / 60.0::DOUBLE")} AS trip_duration_minutes,
-    {dec(FARE_SUM)} AS total_fare,
-    {dec(FARE_SUM + " + " + amt("tips"))} AS total_amount,
-    {dec("CASE WHEN trip_time > 0 THEN trip_miles / (trip_time / 3600.0::DOUBLE) END")} AS avg_speed_mph,
-    coalesce(airport_fee, 0.0::DOUBLE) > 0 AS is_airport_trip,
+    {", ".join(f"{e} AS {n}" for n, e in METRICS.items())},
     CAST(year(pickup_datetime) AS INTEGER) AS year,
     CAST(month(pickup_datetime) AS INTEGER) AS month,
     CAST(day(pickup_datetime) AS INTEGER) AS day
@@ -229,8 +233,108 @@ def sql_daily_service() -> str:
     return with_ctes(SERVICE_SELECT, *BASE)
 
 
+CURATED_OUT = [
+    "hvfhs_license_num", "dispatching_base_num", "originating_base_num", *TS,
+    "PULocationID", "DOLocationID", "trip_miles", "trip_time_seconds", *MONEY8, *FLAGS,
+    "cbd_congestion_fee", "trip_date", "pickup_hour", "day_of_week", "is_weekend",
+    "trip_duration_minutes", "total_fare", "total_amount", "avg_speed_mph", "is_airport_trip",
+    "year", "month", "day",
+]
+RAW_OUT = [
+    "hvfhs_license_num", "dispatching_base_num", "originating_base_num", *TS,
+    "PULocationID", "DOLocationID", "trip_miles", "trip_time", *MONEY8, *FLAGS,
+]
+PASSES = f"coalesce({ALL_RULES}, false)"
+
+
+def sql_validation_report() -> str:
+    failed = ",\n    ".join(
+        f"count(*) FILTER (WHERE NOT coalesce({r}, false)) AS failed_{n}" for n, r in RULES.items()
+    )
+    body = f"""
+  SELECT input_rows, valid_rows, input_rows - valid_rows AS rejected_rows,
+    CAST(CAST(((input_rows - valid_rows) * 2000000 + input_rows) // (2 * input_rows) AS DECIMAL(18,0))
+         * 0.0001 AS DECIMAL(9,4)) AS rejected_pct,
+    {", ".join(f"failed_{n}" for n in RULES)}
+  FROM (SELECT count(*) AS input_rows, count(*) FILTER (WHERE {PASSES}) AS valid_rows,
+    {failed}
+    FROM curated) c"""
+    return with_ctes(body, RAW_CTE, CURATED_CTE)
+
+
+def sql_unmatched_zones() -> str:
+    parts_ = []
+    for role, c in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
+        parts_.append(f"""
+  SELECT '{role}' AS role, {c} AS LocationID, count(*) AS trip_count
+  FROM valid v WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.LocationID = v.{c})
+  GROUP BY {c}""")
+    return with_ctes("\n  UNION ALL".join(parts_), RAW_CTE, CURATED_CTE, VALID_CTE, ZONES_CTE)
+
+
+def sql_preview() -> str:
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in CURATED_OUT)
+    return with_ctes(f"SELECT {', '.join(CURATED_OUT)} FROM valid ORDER BY {order} LIMIT 5",
+                     RAW_CTE, CURATED_CTE, VALID_CTE)
+
+
+def sql_profile() -> str:
+    parts_ = [
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM curated"
+        for c in CURATED_OUT
+    ]
+    return with_ctes("\nUNION ALL\n".join(parts_), RAW_CTE, CURATED_CTE)
+
+
+def pct(rows: str, base: str) -> str:
+    return (f"CAST(CAST(({rows} * 2000000 + {base}) // (2 * {base}) AS DECIMAL(18,0)) * 0.0001 "
+            f"AS DECIMAL(9,4))")
+
+
+def sql_job_summary() -> str:
+    body = f"""
+  , counts AS (
+    SELECT 'curated_trips' AS "table", (SELECT count(*) FROM valid) AS rows
+    UNION ALL SELECT 'daily_borough', (SELECT count(*) FROM ({BOROUGH_SELECT}))
+    UNION ALL SELECT 'daily_zone', (SELECT count(*) FROM ({ZONE_SELECT}))
+    UNION ALL SELECT 'daily_service', (SELECT count(*) FROM ({SERVICE_SELECT}))
+  )
+  SELECT "table", rows, {pct("rows", "(SELECT count(*) FROM valid)")} AS pct_of_input FROM counts"""
+    return with_ctes(body, *BASE)
+
+
+def select_from(cte: str, cols: list[str]) -> str:
+    return f"SELECT {', '.join(cols)} FROM {cte}"
+
+
 ORACLE: dict[str, str] = {
     "daily_borough": sql_daily_borough(),
     "daily_zone": sql_daily_zone(),
     "daily_service": sql_daily_service(),
+    "curate_trips": with_ctes(select_from("curated", CURATED_OUT), RAW_CTE, CURATED_CTE),
+    "null_default_money": with_ctes(
+        select_from("curated", ["trip_miles", "trip_time_seconds", *MONEY8]), RAW_CTE, CURATED_CTE),
+    "flag_to_boolean": with_ctes(
+        "SELECT " + ", ".join([f"{c} AS {c}_raw" for c in FLAGS]
+                              + [f"coalesce({c} = 'Y', false) AS {c}" for c in FLAGS])
+        + " FROM raw_trips", RAW_CTE),
+    "calendar_fields": with_ctes(select_from("curated", [
+        "pickup_datetime", "trip_date", "pickup_hour", "day_of_week", "is_weekend",
+        "year", "month", "day"]), RAW_CTE, CURATED_CTE),
+    "trip_metrics": with_ctes(
+        "SELECT trip_time, trip_miles, " + ", ".join(f"{e} AS {n}" for n, e in METRICS.items())
+        + " FROM raw_trips", RAW_CTE),
+    "validate_trips": with_ctes(select_from("valid", CURATED_OUT), RAW_CTE, CURATED_CTE, VALID_CTE),
+    "rejected_trips": with_ctes(
+        select_from("curated", CURATED_OUT) + f" WHERE NOT {PASSES}", RAW_CTE, CURATED_CTE),
+    "validation_report": sql_validation_report(),
+    "enrich_zones": with_ctes("SELECT * FROM enriched", *BASE),
+    "unmatched_zones": sql_unmatched_zones(),
+    "license_distribution": with_ctes(
+        'SELECT hvfhs_license_num, count(*) AS "count" FROM raw_trips GROUP BY hvfhs_license_num',
+        RAW_CTE),
+    "preview_trips": sql_preview(),
+    "profile_trips": sql_profile(),
+    "job_summary": sql_job_summary(),
 }

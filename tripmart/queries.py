@@ -79,3 +79,103 @@ def q_daily_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("daily_service")
 def q_daily_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_service(enriched(spark, sf_dir))
+
+
+# ---- column operators (C) ----------------------------------------------------
+
+@register("curate_trips")
+def q_curate_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(curated(spark, sf_dir))
+
+
+@register("null_default_money")
+def q_null_default_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.curate import money_columns
+
+    return raw(spark, sf_dir).select(*money_columns())
+
+
+@register("flag_to_boolean")
+def q_flag_to_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.curate import flag_columns
+    from tripmart.schemas import FLAG_COLUMNS
+
+    r = raw(spark, sf_dir)
+    return r.select(*[F.col(c).alias(f"{c}_raw") for c in FLAG_COLUMNS], *flag_columns())
+
+
+@register("calendar_fields")
+def q_calendar_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.curate import calendar_columns, partition_columns
+
+    cols = {**calendar_columns(), **partition_columns()}
+    r = raw(spark, sf_dir)
+    return comparable(r.select("pickup_datetime", *[e.alias(n) for n, e in cols.items()]))
+
+
+@register("trip_metrics")
+def q_trip_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.curate import metric_columns
+
+    r = raw(spark, sf_dir)
+    return r.select("trip_time", "trip_miles", *[e.alias(n) for n, e in metric_columns().items()])
+
+
+# ---- quality (D) -------------------------------------------------------------
+
+@register("validate_trips")
+def q_validate_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(valid(spark, sf_dir))
+
+
+@register("rejected_trips")
+def q_rejected_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(quality.rejected_trips(curated(spark, sf_dir)))
+
+
+@register("validation_report")
+def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.validation_report(curated(spark, sf_dir))
+
+
+# ---- joins (E) ---------------------------------------------------------------
+
+@register("enrich_zones")
+def q_enrich_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched(spark, sf_dir)
+
+
+@register("unmatched_zones")
+def q_unmatched_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.unmatched_zones(valid(spark, sf_dir), zones(spark, sf_dir))
+
+
+# ---- aggregates, sorts, reports (F, G, H) ------------------------------------
+
+@register("license_distribution")
+def q_license_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.license_distribution(raw(spark, sf_dir))
+
+
+@register("preview_trips")
+def q_preview_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.reports import preview
+
+    return preview(comparable(valid(spark, sf_dir)), 5)
+
+
+@register("profile_trips")
+def q_profile_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.reports import profile
+
+    return profile(comparable(curated(spark, sf_dir)))
+
+
+@register("job_summary")
+def q_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.operators.reports import row_summary
+
+    e = enriched(spark, sf_dir)
+    tables = {"curated_trips": valid(spark, sf_dir)}
+    tables.update({name: build(e) for name, build in marts.MARTS.items()})
+    return row_summary(valid(spark, sf_dir), tables)

@@ -27,7 +27,7 @@ SESSION_CONF = {
 def builder(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession.Builder:
     b = SparkSession.builder.master(master).appName("tripmart")
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
     return b
