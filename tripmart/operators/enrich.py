@@ -60,10 +60,16 @@ def sized_for_join(zones: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(zones) if rows <= BROADCAST_MAX_ROWS else zones
 
 
-def enrich_zones(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+def enrich_zones(
+    trips: DataFrame,
+    zones: DataFrame,
+    checked_rows: int | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
     """Trips with pickup and dropoff borough/zone/service zone (left joins).
 
-    Unknown ids keep the trip with NULL names.
+    Unknown ids keep the trip with NULL names.  ``keep`` lists the trip
+    columns carried along (default: those the marts use).
     """
     dim = sized_for_join(zones, checked_rows)
     pu, do = dim.alias("pu"), dim.alias("do")
@@ -78,7 +84,7 @@ def enrich_zones(trips: DataFrame, zones: DataFrame, checked_rows: int | None =
         "dropoff_borough", "dropoff_zone", "dropoff_service_zone",
     ]
     return joined.select(
-        *[F.col(f"t.{c}") for c in ENRICHED_TRIP_COLUMNS],
+        *[F.col(f"t.{c}") for c in (keep or ENRICHED_TRIP_COLUMNS)],
         *[names[n].alias(n) for n in order],
     )
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.enrich import enrich_zones
 from tripmart.schemas import MONEY, TOTAL
 
 BOROUGH_KEYS = ["trip_date", "day_of_week", "is_weekend", "pickup_borough", "dropoff_borough"]
@@ -43,7 +44,9 @@ def with_date_parts(df: DataFrame, parts: list[str]) -> DataFrame:
     return df.withColumns({p: fns[p]("trip_date") for p in parts})
 
 
-def daily_borough(enriched: DataFrame) -> DataFrame:
+def daily_borough(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+    """Per day and borough pair (boroughs from the zone join, NULL when unknown)."""
+    enriched = enrich_zones(trips, zones, checked_rows)
     agg = enriched.groupBy(*BOROUGH_KEYS).agg(
         F.count(F.lit(1)).alias("trip_count"),
         total("total_amount").alias("total_revenue"),
@@ -55,22 +58,30 @@ def daily_borough(enriched: DataFrame) -> DataFrame:
     return with_date_parts(agg, MART_PARTITIONS["daily_borough"])
 
 
-def daily_zone(enriched: DataFrame) -> DataFrame:
-    """Per day and zone pair; names are functionally dependent on the ids."""
-    agg = enriched.groupBy(*ZONE_KEYS).agg(
+def daily_zone(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+    """Per day and zone pair.
+
+    Zone names depend only on the ids (keys are checked unique), so trips
+    are aggregated by id first and the names joined to the far smaller
+    result: no name string enters the shuffle.
+    """
+    agg = trips.groupBy(*ZONE_KEYS).agg(
         F.count(F.lit(1)).alias("trip_count"),
         total("total_amount").alias("total_revenue"),
         mean("trip_miles").alias("avg_zone_distance"),
         mean("trip_duration_minutes").alias("avg_zone_duration"),
         mean("total_amount").alias("avg_fare_per_trip"),
         total("driver_pay").alias("total_driver_pay"),
-        *[F.max(c).alias(c) for c in ZONE_NAME_COLUMNS],
     )
-    return with_date_parts(agg, MART_PARTITIONS["daily_zone"])
+    named = enrich_zones(agg, zones, checked_rows, keep=agg.columns)
+    out = named.select(*agg.columns, *ZONE_NAME_COLUMNS)
+    return with_date_parts(out, MART_PARTITIONS["daily_zone"])
 
 
-def daily_service(enriched: DataFrame) -> DataFrame:
-    agg = enriched.groupBy(*SERVICE_KEYS).agg(
+def daily_service(trips: DataFrame, zones: DataFrame | None = None, checked_rows: int | None = None) -> DataFrame:
+    """Per day and service flags.  Uses no zone column, so no join: a left
+    join on a unique key neither drops nor repeats trips."""
+    agg = trips.groupBy(*SERVICE_KEYS).agg(
         F.count(F.lit(1)).alias("trip_count"),
         total("total_amount").alias("total_revenue"),
         F.count_if("shared_match_flag").alias("shared_matched_count"),

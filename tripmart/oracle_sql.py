@@ -338,3 +338,37 @@ ORACLE: dict[str, str] = {
     "profile_trips": sql_profile(),
     "job_summary": sql_job_summary(),
 }
+
+RAW_WITH_MONTH = [*RAW_OUT, "year", "month"]
+LATEST = "(SELECT max(year * 12 + month) FROM raw_trips)"
+VALID_ROWS = with_ctes(select_from("valid", CURATED_OUT), RAW_CTE, CURATED_CTE, VALID_CTE)
+
+ORACLE.update({
+    "scan_raw_trips": with_ctes(select_from("raw_trips", RAW_WITH_MONTH), RAW_CTE),
+    "scan_target_month": with_ctes(
+        select_from("valid", CURATED_OUT) + " WHERE year = 1998 AND month = 2",
+        RAW_CTE, CURATED_CTE, VALID_CTE),
+    "scan_zone_lookup": with_ctes("SELECT * FROM zones", ZONES_CTE),
+    "scan_catalog_table": with_ctes(select_from("raw_trips", RAW_WITH_MONTH), RAW_CTE),
+    "roundtrip_curated_overwrite": VALID_ROWS,
+    "roundtrip_borough_overwrite": sql_daily_borough(),
+    "roundtrip_append": VALID_ROWS,
+    "target_month_refresh": sql_daily_borough(),
+    "curated_trips": VALID_ROWS,
+    "incremental_curate": VALID_ROWS,
+    "incremental_aggregate": sql_daily_borough(),
+    "latest_month": with_ctes(
+        "SELECT year, month FROM raw_trips ORDER BY year DESC, month DESC LIMIT 1", RAW_CTE),
+    "slice_current": with_ctes(
+        select_from("raw_trips", RAW_WITH_MONTH) + f" WHERE year * 12 + month = {LATEST}", RAW_CTE),
+    "slice_historical": with_ctes(
+        select_from("raw_trips", RAW_WITH_MONTH)
+        + f" WHERE year >= 1997 AND year * 12 + month < {LATEST}", RAW_CTE),
+    "new_partitions_only": with_ctes(
+        "SELECT year, month, count(*) AS rows FROM raw_trips WHERE year > 1998 GROUP BY year, month",
+        RAW_CTE),
+    "landing_manifest": with_ctes(
+        "SELECT year, month, count(*) AS row_count, CAST(1 AS BIGINT) AS file_count, "
+        "min(pickup_datetime) AS first_event, max(pickup_datetime) AS last_event "
+        "FROM raw_trips GROUP BY year, month", RAW_CTE),
+})

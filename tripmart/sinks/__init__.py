@@ -1,0 +1,48 @@
+"""Parquet table writes: replace, append, or replace only the partitions written.
+
+Before a partitioned write the rows are rebalanced on the partition
+columns (``REBALANCE`` hint): every task then holds whole partitions, so
+each directory gets few files instead of one per task, and AQE splits a
+partition that is larger than the advisory size (a hot day) across tasks
+and merges small ones.  The write itself is Spark's committer: files
+become visible only when the job commits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MODES = ("overwrite", "append", "dynamic")
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    mode: str = "overwrite",
+    compression: str = "snappy",
+) -> None:
+    """Write ``df`` as parquet.
+
+    ``mode``: ``overwrite`` replaces the table, ``append`` adds files,
+    ``dynamic`` replaces only the partitions present in ``df`` and leaves
+    all others untouched (the one-month refresh).
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if mode == "dynamic" and not partition_by:
+        raise ValueError("dynamic partition overwrite needs partition columns")
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = out.write.option("compression", compression)
+    if mode == "dynamic":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header CSV, one file per task (used for the small zone dimension)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
