@@ -89,16 +89,21 @@ def refresh_curated(
     stream = spark.readStream.schema(RAW_LANDED).parquet(raw_root)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"curate_batch_{batch_id}")
-        valid = curate_and_validate(df, obs, use_cbd_fee)
-        tagged = valid.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
-        write_table(tagged, out, [BATCH_COLUMN, *CURATED_PARTITIONS], mode="dynamic")
-        reports.append({"batch_id": batch_id, **obs.get})
+        reports.append(write_curated_batch(df, batch_id, out, use_cbd_fee))
 
     _run(stream, batch, checkpoint)
     return reports
 
 
+def write_curated_batch(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bool = False) -> dict:
+    """Curate one micro-batch into ``out/batch_id=N/``; replaying N replaces it."""
+    obs = Observation(f"curate_batch_{batch_id}")
+    valid = curate_and_validate(raw, obs, use_cbd_fee)
+    tagged = valid.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+    write_table(tagged, out, [BATCH_COLUMN, *CURATED_PARTITIONS], mode="dynamic")
+    return {"batch_id": batch_id, **obs.get}
+
+
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
     """The curated table written by ``refresh_curated``, without batch ids."""
     return spark.read.schema(CURATED_STREAM).parquet(root).drop(BATCH_COLUMN)
