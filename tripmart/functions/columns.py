@@ -74,9 +74,21 @@ def positive_fee(c: str | Column) -> Column:
     return amount(c) > 0
 
 
+# --- fixed values: English weekday names in ``dayofweek`` order (1 = Sunday) ---
+WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+UNKNOWN_WEEKDAY = "Unknown"
+
+
 def weekday_name(ts: str | Column) -> Column:
-    """English weekday name of a timestamp; 'Unknown' when it is NULL."""
-    return F.coalesce(F.date_format(as_column(ts), "EEEE"), F.lit("Unknown"))
+    """English weekday name of a timestamp; 'Unknown' when it is NULL.
+
+    A lookup in a literal array by ``dayofweek``: no per-row formatter.
+    The NULL case is decided before the lookup (an index that is NULL must
+    never reach ``element_at``, where a negative index counts from the end).
+    """
+    t = as_column(ts)
+    names = F.array(*[F.lit(n) for n in WEEKDAY_NAMES])
+    return F.when(t.isNull(), F.lit(UNKNOWN_WEEKDAY)).otherwise(F.element_at(names, F.dayofweek(t)))
 
 
 def is_weekend(ts: str | Column) -> Column:

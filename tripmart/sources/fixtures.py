@@ -21,14 +21,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def plus_seconds(ts: Column, n: Column) -> Column:
-    return F.timestamp_add("SECOND", n, ts)
+    """``ts`` (an instant) moved by ``n`` seconds, in plain long arithmetic."""
+    return F.timestamp_seconds(F.unix_seconds(ts) + n)
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A test table stored as one parquet row group is read by one task; the
+    per-row curation that follows would then use one core.  Only in that
+    case are the rows dealt round-robin over the cores; a real input (many
+    files or row groups) is left as scanned, with no shuffle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip records with landing partition columns ``year``, ``month``."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(spark, table(spark, sf_dir, "lineitem"))
     okey, pkey, skey = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line, ship = F.col("l_linenumber"), F.col("l_shipdate")
+    line = F.col("l_linenumber")
+    # Ship dates are wall-clock (timestamp_ntz); read them as UTC instants.
+    ship = F.col("l_shipdate").cast("timestamp")
 
     pk = plus_seconds(ship, (okey * 7919 + line * 104729) % 86400)
     tt = F.when(okey % 41 == 0, F.lit(0)).otherwise(F.col("l_quantity") * 61 + line * 7).cast("bigint")
@@ -43,7 +60,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("HV000"), (F.lit(2) + pkey % 4).cast("string")))
     )
     request = (
-        F.when(okey % 47 == 0, F.lit(None).cast("timestamp_ntz"))
+        F.when(okey % 47 == 0, F.lit(None).cast("timestamp"))
         .when(okey % 53 == 0, plus_seconds(pk, F.lit(30)))
         .when(okey % 59 == 0, pk)
         .otherwise(plus_seconds(pk, -(F.lit(1) + okey % 600)))
