@@ -372,3 +372,9 @@ ORACLE.update({
         "min(pickup_datetime) AS first_event, max(pickup_datetime) AS last_event "
         "FROM raw_trips GROUP BY year, month", RAW_CTE),
 })
+
+ORACLE.update({
+    "shared_scan_borough": sql_daily_borough(),
+    "shared_scan_zone": sql_daily_zone(),
+    "shared_scan_service": sql_daily_service(),
+})

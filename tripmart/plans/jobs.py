@@ -17,8 +17,9 @@ from tripmart.operators.curate import curate_trips
 from tripmart.operators.enrich import check_zones
 from tripmart.operators.quality import all_rules, passes
 from tripmart.schemas import CURATED_PARTITIONS
-from tripmart.session import prepare
+from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
+from tripmart.sinks.fs import remove
 from tripmart.sources.tables import month_target, only_month, scan_curated, scan_raw
 
 
@@ -81,12 +82,19 @@ def build_aggregates(
     month: int | str | None = None,
     tables: tuple[str, ...] = tuple(marts.MARTS),
     curated: DataFrame | None = None,
+    shared_scan: bool = True,
 ) -> StepReport:
     """Rebuild the marts from the curated table (or the given ``curated`` rows).
 
     With ``year`` and ``month`` (both, or neither) only that month is read
     (partition pruning) and only its partitions are replaced; every other
     month of every mart is left as it is.
+
+    With ``shared_scan`` and more than one mart, the curated rows are read
+    once: their partials at the finest common grain are written to the
+    shared checkpoint folder (which also cuts the lineage, so a lost
+    executor never forces a rescan of the input) and every mart is rolled
+    up from them.
     """
     prepare(spark)
     target = month_target(year, month)
@@ -100,15 +108,26 @@ def build_aggregates(
     obs = Observation("marts_input")
     counted = curated.observe(obs, F.count(F.lit(1)).alias("rows"))
     report = StepReport()
+    cube_path = None
+    if shared_scan and len(tables) > 1:
+        cube_path = work_dir(spark, "marts-cube")
+        write_table(marts.partials(counted, marts.CUBE_KEYS), cube_path)
+        report.input_rows = obs.get["rows"]
+        built = marts.marts_from_cube(spark.read.parquet(cube_path), zones, zone_rows)
+    else:
+        built = {
+            name: marts.MARTS[name](counted if i == 0 else curated, zones, zone_rows)
+            for i, name in enumerate(tables)
+        }
     for i, name in enumerate(tables):
-        source = counted if i == 0 else curated
         out_obs = Observation(name)
-        table = marts.MARTS[name](source, zones, zone_rows)
-        table = table.observe(out_obs, F.count(F.lit(1)).alias("rows"))
+        table = built[name].observe(out_obs, F.count(F.lit(1)).alias("rows"))
         write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode=mode)
         report.output_rows[name] = out_obs.get["rows"]
-        if i == 0:
+        if cube_path is None and i == 0:
             report.input_rows = obs.get["rows"]
+    if cube_path is not None:
+        remove(spark, cube_path)
     return report
 
 

@@ -414,3 +414,26 @@ def q_landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.sources.landing import landing_manifest
 
     return comparable(landing_manifest(landed(spark, sf_dir)).drop("total_bytes"))
+
+
+# ---- the marts as the aggregate job builds them: one shared partial --------------
+
+def _from_cube(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    z = zones(spark, sf_dir)
+    cube = marts.partials(valid(spark, sf_dir), marts.CUBE_KEYS)
+    return marts.marts_from_cube(cube, z, enrich.check_zones(z))[name]
+
+
+@register("shared_scan_borough")
+def q_shared_scan_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_cube(spark, sf_dir, "daily_borough")
+
+
+@register("shared_scan_zone")
+def q_shared_scan_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_cube(spark, sf_dir, "daily_zone")
+
+
+@register("shared_scan_service")
+def q_shared_scan_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_cube(spark, sf_dir, "daily_service")

@@ -30,6 +30,7 @@ from tripmart.plans.jobs import curate_and_validate
 from tripmart.schemas import CURATED, CURATED_PARTITIONS, RAW_LANDED
 from tripmart.session import prepare
 from tripmart.sinks import write_table
+from tripmart.sinks.fs import has_files
 
 BATCH_COLUMN = "batch_id"
 CURATED_STREAM = StructType(CURATED.fields[:-3] + [StructField(BATCH_COLUMN, LongType())] + CURATED.fields[-3:])
@@ -39,17 +40,6 @@ class CheckpointMismatch(RuntimeError):
     pass
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
-
-
 def guard_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Refuse a fresh checkpoint on an output that already holds data.
 
