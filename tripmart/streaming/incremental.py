@@ -119,18 +119,18 @@ def refresh_aggregates(
 
     def batch(df: DataFrame, batch_id: int) -> None:
         new = df.drop(BATCH_COLUMN)
+        # One listing of the curated table per batch, shared by all marts.
+        current = read_curated(spark, curated_root) if on_touch == "recompute" else None
         for name in tables:
             grain = marts.MART_PARTITIONS[name]
             if on_touch == "append":
                 source, mode = new, "append"
             else:
-                # The days (or months) this batch touched: a bounded key set,
-                # broadcast into a semi join so the curated scan is pruned to
-                # those partitions at run time (dynamic partition pruning).
+                # The days (or months) this batch touched: a key set bounded by
+                # the calendar, broadcast into a semi join so the curated scan
+                # is pruned to those partitions at run time (dynamic pruning).
                 touched = new.select(*grain).distinct()
-                source = read_curated(spark, curated_root).join(
-                    F.broadcast(touched), grain, "left_semi"
-                )
+                source = current.join(F.broadcast(touched), grain, "left_semi")
                 mode = "dynamic"
             table = marts.MARTS[name](source, zones, zone_rows)
             write_table(table, f"{out_root}/{name}", grain, mode=mode)
