@@ -152,3 +152,27 @@ def test_unknown_zone_keeps_trip(make_raw, zones_df):
 def test_no_python_udf_in_curate_plan(make_raw):
     plan = curate_trips(make_raw(trip()))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_cbd_fee_option_reads_the_source_column(make_raw):
+    raw = make_raw(trip(tips=0.0)).withColumn("cbd_congestion_fee", F.lit(0.75))
+    default = curate_trips(raw).first()
+    with_fee = curate_trips(raw, use_cbd_fee=True).first()
+    assert default.cbd_congestion_fee == Decimal("0.00")
+    assert with_fee.cbd_congestion_fee == Decimal("0.75")
+    assert with_fee.total_fare - default.total_fare == Decimal("0.75")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_same_result_with_ansi_on_or_off(spark, make_raw, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = [trip(tips=1e9), trip(base_passenger_fare=1e9), trip(trip_miles=500.004), trip(trip_time=0)]
+        df = curate_trips(make_raw(*rows))
+        got = [(r.tips, r.base_passenger_fare, r.trip_miles, r.avg_speed_mph) for r in df.collect()]
+        assert got[0][0] is None and got[1][1] is None and got[2][2] == Decimal("500.00")
+        assert got[3][3] is None
+        assert quality.validate_trips(df).count() == 3
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
