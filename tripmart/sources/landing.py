@@ -8,7 +8,7 @@ columns, so Spark answers them from pruned scans; only one-row results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.sinks import write_table
@@ -36,16 +36,16 @@ def _latest(raw: DataFrame) -> tuple[int, int] | None:
     return None if row is None or row["year"] is None else (row["year"], row["month"])
 
 
-def month_index(year, month):
-    """Months since year 0; orders (year, month) pairs as one integer."""
-    return F.col(year) * 12 + F.col(month) if isinstance(year, str) else year * 12 + month
+def month_index() -> Column:
+    """Months since year 0: orders (year, month) pairs as one integer."""
+    return F.col("year") * 12 + F.col("month")
 
 
 def slice_current(raw: DataFrame) -> DataFrame:
     """Run mode "current": the latest month only (a pruned partition scan)."""
     latest = _latest(raw)
     if latest is None:
-        return raw.limit(0)
+        return raw.where(F.lit(False))
     y, m = latest
     return raw.where((F.col("year") == y) & (F.col("month") == m))
 
@@ -55,10 +55,9 @@ def slice_historical(raw: DataFrame, base_year: int) -> DataFrame:
     the latest month; every year in between is included."""
     latest = _latest(raw)
     if latest is None:
-        return raw.limit(0)
+        return raw.where(F.lit(False))
     y, m = latest
-    idx = month_index("year", "month")
-    return raw.where((F.col("year") >= base_year) & (idx < y * 12 + m))
+    return raw.where((F.col("year") >= base_year) & (month_index() < y * 12 + m))
 
 
 def months_to_land(source: DataFrame, landed: DataFrame) -> DataFrame:
