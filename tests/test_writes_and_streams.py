@@ -167,3 +167,15 @@ def test_new_checkpoint_on_old_output_is_refused(spark, make_raw, scratch):
     refresh_curated(spark, raw, cur, f"{scratch}/ck1")
     with pytest.raises(CheckpointMismatch):
         refresh_curated(spark, raw, cur, f"{scratch}/ck2")
+
+
+def test_backfill_in_bounded_batches_equals_one_batch(spark, make_raw, scratch):
+    raw = f"{scratch}/raw"
+    rows = [trip(**day(d, month=m)) for m in (1, 2, 3) for d in (4, 5)]
+    land_raw(make_raw(*rows), raw)
+    small = refresh_curated(spark, raw, f"{scratch}/c1", f"{scratch}/k1", max_files_per_trigger=1)
+    whole = refresh_curated(spark, raw, f"{scratch}/c2", f"{scratch}/k2")
+    assert len(small) == 3 and len(whole) == 1
+    a = read_curated(spark, f"{scratch}/c1").drop("processing_timestamp")
+    b = read_curated(spark, f"{scratch}/c2").drop("processing_timestamp")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

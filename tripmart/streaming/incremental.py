@@ -33,6 +33,9 @@ from tripmart.sinks import write_table
 from tripmart.sinks.fs import has_files
 
 BATCH_COLUMN = "batch_id"
+# Files per micro-batch: a backfill of a large landing zone runs as a series
+# of bounded batches (each replayable on its own), not as one huge batch.
+MAX_FILES_PER_TRIGGER = 10_000
 CURATED_STREAM = StructType(CURATED.fields[:-3] + [StructField(BATCH_COLUMN, LongType())] + CURATED.fields[-3:])
 
 
@@ -71,12 +74,17 @@ def refresh_curated(
     out: str,
     checkpoint: str,
     use_cbd_fee: bool = False,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> list[dict]:
     """Curate the raw files not seen before; returns per-batch counts."""
     prepare(spark)
     guard_checkpoint(spark, out, checkpoint)
     reports: list[dict] = []
-    stream = spark.readStream.schema(RAW_LANDED).parquet(raw_root)
+    stream = (
+        spark.readStream.schema(RAW_LANDED)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(raw_root)
+    )
 
     def batch(df: DataFrame, batch_id: int) -> None:
         reports.append(write_curated_batch(df, batch_id, out, use_cbd_fee))
@@ -107,6 +115,7 @@ def refresh_aggregates(
     checkpoint: str,
     on_touch: str = "recompute",
     tables: tuple[str, ...] = tuple(marts.MARTS),
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> list[int]:
     """Bring the marts up to date with curated files not seen before."""
     if on_touch not in ("recompute", "append"):
@@ -115,7 +124,11 @@ def refresh_aggregates(
     guard_checkpoint(spark, out_root, checkpoint)
     zone_rows = check_zones(zones)
     batches: list[int] = []
-    stream = spark.readStream.schema(CURATED_STREAM).parquet(curated_root)
+    stream = (
+        spark.readStream.schema(CURATED_STREAM)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(curated_root)
+    )
 
     def batch(df: DataFrame, batch_id: int) -> None:
         new = df.drop(BATCH_COLUMN)
