@@ -179,3 +179,15 @@ def test_backfill_in_bounded_batches_equals_one_batch(spark, make_raw, scratch):
     a = read_curated(spark, f"{scratch}/c1").drop("processing_timestamp")
     b = read_curated(spark, f"{scratch}/c2").drop("processing_timestamp")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_full_and_month_jobs_read_the_incremental_layout(spark, make_raw, zones_df, scratch):
+    raw, cur = f"{scratch}/raw", f"{scratch}/cur"
+    land_raw(make_raw(trip(**day(4, month=1)), trip(**day(5, month=2))), raw)
+    refresh_curated(spark, raw, cur, f"{scratch}/ck")
+    assert "batch_id" not in scan_curated(spark, cur).columns
+    rep = build_aggregates(spark, cur, zones_df, f"{scratch}/m")
+    assert rep.input_rows == 2
+    rep = build_aggregates(spark, cur, zones_df, f"{scratch}/m", 2024, 2)
+    assert rep.input_rows == 1
+    assert spark.read.parquet(f"{scratch}/m/daily_zone").count() == 2

@@ -124,4 +124,10 @@ CURATED = StructType(
     ]
 )
 CURATED_PARTITIONS = ["year", "month", "day"]
+# Incremental runs write each micro-batch under a leading ``batch_id=N/``
+# directory level; a reader with this schema accepts both layouts.
+BATCH_COLUMN = "batch_id"
+CURATED_ANY_LAYOUT = StructType(
+    CURATED.fields[:-4] + [StructField(BATCH_COLUMN, LongType())] + CURATED.fields[-4:]
+)
 CURATED_COLUMNS = [f.name for f in CURATED.fields]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmart.schemas import CURATED, RAW_LANDED, ZONE
+from tripmart.schemas import BATCH_COLUMN, CURATED_ANY_LAYOUT, RAW_LANDED, ZONE
 
 
 def scan_raw(spark: SparkSession, root: str, schema: StructType = RAW_LANDED) -> DataFrame:
@@ -20,8 +20,8 @@ def scan_raw(spark: SparkSession, root: str, schema: StructType = RAW_LANDED) ->
 
 
 def scan_curated(spark: SparkSession, root: str) -> DataFrame:
-    """Curated trips under ``root/year=/month=/day=``."""
-    return spark.read.schema(CURATED).parquet(root)
+    """Curated trips under ``root/year=/month=/day=`` or ``root/batch_id=/year=/...``."""
+    return spark.read.schema(CURATED_ANY_LAYOUT).parquet(root).drop(BATCH_COLUMN)
 
 
 def month_target(year: int | str | None, month: int | str | None) -> tuple[int, int] | None:

@@ -22,21 +22,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tripmart.operators import marts
 from tripmart.operators.enrich import check_zones
 from tripmart.plans.jobs import curate_and_validate
-from tripmart.schemas import CURATED, CURATED_PARTITIONS, RAW_LANDED
+from tripmart.schemas import BATCH_COLUMN, CURATED_ANY_LAYOUT, CURATED_PARTITIONS, RAW_LANDED
 from tripmart.session import prepare
 from tripmart.sinks import write_table
 from tripmart.sinks.fs import has_files
+from tripmart.sources.tables import scan_curated
 
-BATCH_COLUMN = "batch_id"
 # Files per micro-batch: a backfill of a large landing zone runs as a series
 # of bounded batches (each replayable on its own), not as one huge batch.
 MAX_FILES_PER_TRIGGER = 10_000
-CURATED_STREAM = StructType(CURATED.fields[:-3] + [StructField(BATCH_COLUMN, LongType())] + CURATED.fields[-3:])
+CURATED_STREAM = CURATED_ANY_LAYOUT
 
 
 class CheckpointMismatch(RuntimeError):
@@ -104,7 +103,7 @@ def write_curated_batch(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bo
 
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
     """The curated table written by ``refresh_curated``, without batch ids."""
-    return spark.read.schema(CURATED_STREAM).parquet(root).drop(BATCH_COLUMN)
+    return scan_curated(spark, root)
 
 
 def refresh_aggregates(
