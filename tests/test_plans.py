@@ -45,6 +45,7 @@ def test_marts_read_only_needed_columns_and_broadcast_zones(spark, make_raw, zon
     read = [line for line in borough.splitlines() if "ReadSchema" in line and "trip_miles" in line][0]
     assert "driver_pay" not in read and "hvfhs_license_num" not in read
     assert "BroadcastHashJoin" in borough and "SortMergeJoin" not in borough
+    assert borough.count("Arguments: hashpartitioning(") == 1  # one shuffle, by borough pair
     service = plan_of(marts.daily_service(cur))
     assert "Join" not in service  # the service mart needs no zone
     zone = plan_of(marts.daily_zone(cur, zones_df))

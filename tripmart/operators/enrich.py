@@ -92,19 +92,19 @@ def enrich_zones(
 def unmatched_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Location ids used by trips that have no zone row, per role, with trip counts.
 
-    Trips are counted per id first (map-side partial aggregation), so the
-    anti join sees one row per id instead of one per trip.
+    One scan of the trips yields both roles as (role, id) pairs; they are
+    counted per id (map-side partial aggregation, one shuffle) and only the
+    per-id counts meet the zone keys in a broadcast anti join.
     """
     dim = sized_for_join(zones).select("LocationID")
-    out = None
-    for role, column in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
-        per_id = (
-            trips.where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("LocationID"))
-            .agg(F.count(F.lit(1)).alias("trip_count"))
-        )
-        missing = per_id.join(dim, "LocationID", "left_anti").select(
-            F.lit(role).alias("role"), "LocationID", "trip_count"
-        )
-        out = missing if out is None else out.unionByName(missing)
-    return out
+    roles = F.array(
+        F.struct(F.lit("pickup").alias("role"), F.col("PULocationID").alias("LocationID")),
+        F.struct(F.lit("dropoff").alias("role"), F.col("DOLocationID").alias("LocationID")),
+    )
+    per_id = (
+        trips.select(F.inline(roles))
+        .where(F.col("LocationID").isNotNull())
+        .groupBy("role", "LocationID")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+    )
+    return per_id.join(dim, "LocationID", "left_anti").select("role", "LocationID", "trip_count")

@@ -7,8 +7,10 @@ sums and non-null counts, which can be merged again at any coarser key.
   on the keys and a final merge, so a hot day or zone pair is pre-combined
   in every task and never lands whole in one task.
 * Zone names depend only on the ids (the dimension is checked unique),
-  so the borough and zone marts aggregate by id first and join the names
-  to the much smaller result (aggregate before join).
+  so the zone mart aggregates by id first and joins the six names to the
+  much smaller result (aggregate before join): no name string is shuffled.
+  The borough mart joins first (a map-side broadcast probe) so that its
+  shuffle is keyed by borough pair, the coarser key.
 * A job that writes all three marts computes the partials once at the
   finest common grain (``CUBE_KEYS``), writes them to the shared folder and
   rolls all three marts up from there: one scan of the curated table.
@@ -91,12 +93,21 @@ def with_date_parts(df: DataFrame, parts: list[str]) -> DataFrame:
     return df.withColumns({p: fns[p]("trip_date") for p in parts})
 
 
-def borough_from(parts: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
-    """daily_borough from partials keyed by at least ``BOROUGH_ID_KEYS``."""
-    keep = BOROUGH_ID_KEYS + PARTIAL_COLUMNS
-    ids = merge(parts, BOROUGH_ID_KEYS) if set(parts.columns) - set(keep) else parts
-    named = enrich_zones(ids, zones, checked_rows, keep=keep)
-    agg = merge(named, BOROUGH_KEYS).select(
+def borough_from(parts: DataFrame, zones: DataFrame | None = None, checked_rows: int | None = None,
+                 grouped: bool = False) -> DataFrame:
+    """daily_borough from partials.
+
+    ``grouped``: already one row per ``BOROUGH_KEYS``.  Otherwise the parts
+    are keyed by zone ids (at least ``BOROUGH_ID_KEYS``): merged to those
+    ids, joined to the borough names and merged again.
+    """
+    if grouped:
+        agg = parts
+    else:
+        keep = BOROUGH_ID_KEYS + PARTIAL_COLUMNS
+        ids = merge(parts, BOROUGH_ID_KEYS) if set(parts.columns) - set(keep) else parts
+        agg = merge(enrich_zones(ids, zones, checked_rows, keep=keep), BOROUGH_KEYS)
+    out = agg.select(
         *BOROUGH_KEYS,
         F.col("n").alias("trip_count"),
         total("amount").alias("total_revenue"),
@@ -105,7 +116,7 @@ def borough_from(parts: DataFrame, zones: DataFrame, checked_rows: int | None =
         mean("miles").alias("avg_borough_distance"),
         mean("minutes").alias("avg_borough_duration"),
     )
-    return with_date_parts(agg, MART_PARTITIONS["daily_borough"])
+    return with_date_parts(out, MART_PARTITIONS["daily_borough"])
 
 
 def zone_from(parts: DataFrame, zones: DataFrame, checked_rows: int | None = None,
@@ -138,8 +149,14 @@ def service_from(parts: DataFrame, grouped: bool = False) -> DataFrame:
 
 
 def daily_borough(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
-    """Per day and borough pair; boroughs of unknown ids are NULL (own group)."""
-    return borough_from(partials(trips, BOROUGH_ID_KEYS), zones, checked_rows)
+    """Per day and borough pair; boroughs of unknown ids are NULL (own group).
+
+    Here the join comes first: the broadcast probe is map-side and cheap,
+    and the partial aggregation that follows is keyed by borough pair (a
+    few dozen per day) instead of zone pair, so far less is shuffled.
+    """
+    enriched = enrich_zones(trips, zones, checked_rows)
+    return borough_from(partials(enriched, BOROUGH_KEYS), grouped=True)
 
 
 def daily_zone(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
