@@ -191,3 +191,18 @@ def test_full_and_month_jobs_read_the_incremental_layout(spark, make_raw, zones_
     rep = build_aggregates(spark, cur, zones_df, f"{scratch}/m", 2024, 2)
     assert rep.input_rows == 1
     assert spark.read.parquet(f"{scratch}/m/daily_zone").count() == 2
+
+
+def test_run_all_chains_both_steps_and_stops_at_first_failure(spark, make_raw, zones_df, scratch):
+    from tripmart.plans.jobs import run_all
+
+    land_raw(make_raw(trip(**day(4)), trip(**day(5)), trip(PULocationID=None)), f"{scratch}/raw")
+    rep = run_all(spark, f"{scratch}/raw", zones_df, f"{scratch}/cur", f"{scratch}/m")
+    assert rep["curate"].input_rows == 3 and rep["curate"].output_rows["curated_trips"] == 2
+    assert rep["aggregate"].input_rows == 2
+    assert rep["aggregate"].output_rows["daily_service"] == 2
+    assert rep["aggregate"].pct("daily_service") == 100.0
+    os.makedirs(f"{scratch}/empty")
+    with pytest.raises(Exception):
+        run_all(spark, f"{scratch}/empty", zones_df, f"{scratch}/cur2", f"{scratch}/m2")
+    assert not os.path.exists(f"{scratch}/m2")

@@ -37,7 +37,6 @@ FARE_CHARGES = [
     "congestion_surcharge",
     "airport_fee",
 ]
-MONEY_COLUMNS = ["trip_miles", *FARE_CHARGES, "tips", "driver_pay"]
 FLAG_COLUMNS = [
     "shared_request_flag",
     "shared_match_flag",
