@@ -69,3 +69,12 @@ def test_latest_month_slice_prunes_partitions(spark, make_raw, scratch):
     assert [(r.year, r.month) for r in cur.collect()] == [(2024, 3)]
     hist = sorted((r.year, r.month) for r in slice_historical(raw, 2024).collect())
     assert hist == [(2024, 1), (2024, 2)]
+
+
+def test_zone_roles_share_one_broadcast(spark):
+    df = Q.q_daily_zone(spark, SF_SMALL)
+    df.collect()  # the adaptive plan is final once it has run
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final or "Final Plan" in final
+    assert "ReusedExchange" in final
+    assert "SortMergeJoin" not in final
