@@ -206,3 +206,18 @@ def test_run_all_chains_both_steps_and_stops_at_first_failure(spark, make_raw, z
     with pytest.raises(Exception):
         run_all(spark, f"{scratch}/empty", zones_df, f"{scratch}/cur2", f"{scratch}/m2")
     assert not os.path.exists(f"{scratch}/m2")
+
+
+def test_landing_manifest_counts_files_and_bytes(spark, make_raw, scratch):
+    from tripmart.sources.landing import landing_manifest
+    from tripmart.sources.tables import scan_raw
+
+    raw = f"{scratch}/raw"
+    land_raw(make_raw(trip(**day(4)), trip(**day(5)), trip(**day(6, month=2))), raw)
+    land_raw(make_raw(trip(**day(7))), raw, mode="append")  # a second January file
+    rows = {(r.year, r.month): r for r in landing_manifest(scan_raw(spark, raw)).collect()}
+    jan, feb = rows[(2024, 1)], rows[(2024, 2)]
+    assert (jan.row_count, jan.file_count, feb.row_count, feb.file_count) == (3, 2, 1, 1)
+    files = [f for f in os.listdir(f"{raw}/year=2024/month=1") if f.endswith(".parquet")]
+    assert jan.total_bytes == sum(os.path.getsize(f"{raw}/year=2024/month=1/{f}") for f in files)
+    assert jan.first_event == dt.datetime(2024, 1, 4, 10) and jan.last_event == dt.datetime(2024, 1, 7, 10)
