@@ -11,9 +11,12 @@ Exactly-once output:
   partition overwrite.  A batch replayed after a failure rewrites exactly
   its own partitions, so it never duplicates rows.
 * marts (``on_touch="recompute"``, default): the batch only names the
-  days it touched; those days (months for the y/m-partitioned marts) are
-  re-aggregated from the current curated table and replaced.  The grain
-  stays one row per key however the trips of a day were split into
+  days it touched.  Per-day partials of those days are recomputed from the
+  current curated table and replace those days of a partials table kept
+  beside the marts; every mart partition holding a touched day (the day
+  for the zone mart, its month for the others) is rolled up again from the
+  partials and replaced.  A batch reads only its own days of trips, the
+  grain stays one row per key however the trips of a day were split into
   batches, late trips included, and a replay gives the same result.
   ``on_touch="append"`` appends the batch's own aggregates instead.
 """
@@ -35,6 +38,9 @@ from tripmart.sources.tables import scan_curated
 # Files per micro-batch: a backfill of a large landing zone runs as a series
 # of bounded batches (each replayable on its own), not as one huge batch.
 MAX_FILES_PER_TRIGGER = 10_000
+# Per-day partials kept beside the marts (a leading "_" hides the directory
+# from readers of the marts' root).
+CUBE_DIR = "_daily_partials"
 CURATED_STREAM = CURATED_ANY_LAYOUT
 
 
@@ -129,23 +135,35 @@ def refresh_aggregates(
         .parquet(curated_root)
     )
 
+    cube_root = f"{out_root}/{CUBE_DIR}"
+
     def batch(df: DataFrame, batch_id: int) -> None:
         new = df.drop(BATCH_COLUMN)
-        # One listing of the curated table per batch, shared by all marts.
-        current = read_curated(spark, curated_root) if on_touch == "recompute" else None
+        if on_touch == "append":
+            for name in tables:
+                table = marts.MARTS[name](new, zones, zone_rows)
+                write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode="append")
+            batches.append(batch_id)
+            return
+        # The days this batch touched: a key set bounded by the calendar,
+        # broadcast into semi joins so every scan below is pruned to those
+        # partitions at run time (dynamic partition pruning).
+        days = new.select(*CURATED_PARTITIONS).distinct()
+        # 1. Partials of the touched days, recomputed from all curated trips
+        #    of those days (late trips included), replace those days.
+        trips = scan_curated(spark, curated_root).join(F.broadcast(days), CURATED_PARTITIONS, "left_semi")
+        cube = marts.with_date_parts(marts.partials(trips, marts.CUBE_KEYS), CURATED_PARTITIONS)
+        write_table(cube, cube_root, CURATED_PARTITIONS, mode="dynamic")
+        # 2. Each mart partition that holds a touched day is rolled up again
+        #    from the (much smaller) partials: days for the zone mart, whole
+        #    months for the y/m-partitioned marts.
+        parts = spark.read.parquet(cube_root)
         for name in tables:
             grain = marts.MART_PARTITIONS[name]
-            if on_touch == "append":
-                source, mode = new, "append"
-            else:
-                # The days (or months) this batch touched: a key set bounded by
-                # the calendar, broadcast into a semi join so the curated scan
-                # is pruned to those partitions at run time (dynamic pruning).
-                touched = new.select(*grain).distinct()
-                source = current.join(F.broadcast(touched), grain, "left_semi")
-                mode = "dynamic"
-            table = marts.MARTS[name](source, zones, zone_rows)
-            write_table(table, f"{out_root}/{name}", grain, mode=mode)
+            touched = days.select(*grain).distinct()
+            source = parts.join(F.broadcast(touched), grain, "left_semi")
+            table = marts.marts_from_cube(source, zones, zone_rows)[name]
+            write_table(table, f"{out_root}/{name}", grain, mode="dynamic")
         batches.append(batch_id)
 
     _run(stream, batch, checkpoint)
