@@ -437,3 +437,4 @@ def q_shared_scan_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("shared_scan_service")
 def q_shared_scan_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_cube(spark, sf_dir, "daily_service")
+
