@@ -1 +1,11 @@
-"""Operators for training-data pipelines over text and page tables."""
+"""Operators for training-data pipelines over text and page tables.
+
+Functions that run inside tasks are shipped to the executors by value, so a
+cluster needs no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,12 +7,33 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm.common import read_table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.html_extract import extract_pages
+
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.quality_rules import quality_rules
 
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.url_filter import url_filter
+
+    return url_filter(read_table(spark, sf_dir, "pages"))
+
+
 REGISTRY = {
+    "op1_html_extraction": op1_html_extraction,
+    "op3_exact_dedup": op3_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op9_url_filter": op9_url_filter,
 }
