@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.llm.common import read_table
 
@@ -13,12 +14,27 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.line_dedup import line_dedup
+
+    kept = line_dedup(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.exact_dedup import exact_dedup
 
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tripmart.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.quality_rules import quality_rules
 
@@ -33,7 +49,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_packing": op5_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
 }
