@@ -27,6 +27,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +42,14 @@ QUANTUM = 64
 END_ID = 1
 #: Characters of text tokenized at a time, and words remembered by a task.
 SLICE_CHARS = 4 << 20
-HELD_WORDS = 400_000
+HELD_WORDS = 600_000
 
-#: Letters that the tokenizer's normaliser keeps as single letters, so a run of them is one word of it.
-PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]+")
-TAIL = ".,!%&$#*|"
+# Letters that stay single letters under the tokenizer's normaliser, the characters
+# of texts whose words are told apart here, and the tokenizer's own pattern of a word over those.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž"
+PLAIN = re.compile(f"[{LETTERS}]+")
+SAFE = re.compile(f"[\\t-\\r -~{LETTERS}]*")
+PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
 
 
 class WordTokenizer:
@@ -63,45 +67,56 @@ class WordTokenizer:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.held: dict[str, np.ndarray] = {}
+        self._forget()
 
-    def _encode(self, words: list[str]) -> dict[str, np.ndarray]:
-        out: dict[str, np.ndarray] = {}
-        plain = [w for w in words if PLAIN.fullmatch(w)]
-        other = [w for w in words if not PLAIN.fullmatch(w)]
-        for i in range(0, len(plain), 5000):
-            part = plain[i:i + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):
-                other += part
-                continue
-            out.update(zip(part, np.split(ids, stops[:-1])))
-        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            out[w] = np.array(e.ids, np.uint32)
-        return out
+    def _forget(self) -> None:
+        """A word is a number; its ids lie at starts[number] in one array."""
+        self.held: dict[str, int] = {}
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, texts one after another, and the number of ids of each text."""
-        words = [re.split("[ \n]+", t) for t in texts]
+        # texts with other characters are parted at spaces only, and their words left to the tokenizer
+        words = [PRETOKEN.findall(t.lower()) if SAFE.fullmatch(t) and "<|" not in t else re.split("[ \n]+", t) for t in texts]
         new = set().union(*words).difference(self.held) if words else set()
         if len(self.held) + len(new) > HELD_WORDS:
-            self.held = {}
+            self._forget()
             new = set().union(*words)
-        # a word and the marks after it are encoded apart: the tokenizer never joins letters and marks
-        parts = {}
-        for w in new:
-            stem = w.rstrip(TAIL)
-            parts[w] = (stem, w[len(stem):]) if stem and len(stem) < len(w) and PLAIN.fullmatch(stem) else (w,)
-        known = self._encode(list({p for ps in parts.values() for p in ps} - {""}))
-        known[""] = np.zeros(0, np.uint32)
-        for w, ps in parts.items():
-            self.held[w] = known[ps[0]] if len(ps) == 1 else np.concatenate([known[p] for p in ps])
-        flat = [self.held[w] for ws in words for w in ws]
-        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        ends = np.cumsum([len(ws) for ws in words]) if words else np.zeros(0, np.int64)
+        self._remember(list(new))
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        sizes = self.sizes[flat]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        return np.concatenate(flat) if flat else np.zeros(0, np.uint32), np.diff(np.concatenate([[0], total[ends]])).astype(np.int64)
+        ids = self.ids[np.repeat(self.starts[flat] - total[:-1], sizes) + np.arange(total[-1])]
+        return ids, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
+
+    def _remember(self, new: list[str]) -> None:
+        """Encode new words; runs of letters many at a time, told apart by their ends."""
+        plain = [w for w in new if PLAIN.fullmatch(w)]
+        other = [w for w in new if not PLAIN.fullmatch(w)]
+        order, ids, sizes = [], [], []
+        for i in range(0, len(plain), 5000):
+            part = plain[i:i + 5000]
+            got = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.flatnonzero(self.ends[got]) + 1
+            if len(stops) != len(part):
+                other += part
+                continue
+            order += part
+            ids.append(got)
+            sizes.append(np.diff(np.concatenate([[0], stops])))
+        for i in range(0, len(other), 5000):
+            part = other[i:i + 5000]
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            order += part
+            ids.append(np.fromiter(chain.from_iterable(each), np.uint32))
+            sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        if order:
+            size = np.concatenate(sizes).astype(np.int64)
+            self.held.update(zip(order, range(len(self.held), len(self.held) + len(order))))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(size) - size])
+            self.sizes = np.concatenate([self.sizes, size])
+            self.ids = np.concatenate([self.ids, *ids])
 
 
 def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
