@@ -20,7 +20,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Element names by role.
@@ -269,11 +269,11 @@ def extract(html: str | None) -> str:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per page of pages (page_id, url, html)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [extract(h) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": text, "n_chars": [len(t) for t in text]})
+            text = [extract(h) for h in b.column("html").to_pylist()]
+            yield pa.record_batch([b.column("page_id"), b.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    df = pages.select("page_id", "url", pages["html"].cast("string").alias("html"))
+    df = pages.select("page_id", pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     kind = df.schema["page_id"].dataType.simpleString()
-    return df.mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    return df.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
