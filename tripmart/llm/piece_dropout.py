@@ -69,7 +69,10 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
+        """A word is a number; slot[number * variants + variant] tells where its pieces lie, -1 if not made yet."""
         self.held: dict[str, int] = {}
+        self.words: list[str] = []
+        self.seeds, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def merge(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,19 +146,26 @@ class PieceEncoder:
             self._forget()
             new = set().union(*words)
         order = list(new)
-        if order:
-            v = self.variants
-            seeded = np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in order), np.uint64, len(order))
-            with np.errstate(over="ignore"):
-                keys = _mix(np.repeat(seeded, v) + np.tile(np.arange(v, dtype=np.uint64), len(order)) * U(0xD6E8FEB86659FD93))
-            ids, sizes = self.merge([x for w in order for x in [w.replace(" ", SPACE)] * v], keys)
-            self.held.update(zip(order, range(len(self.held), len(self.held) + len(order))))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        v = self.variants
+        self.held.update(zip(order, range(len(self.words), len(self.words) + len(order))))
+        self.words += order
+        self.seeds = np.concatenate([self.seeds, np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in order), np.uint64, len(order))])
+        self.slot = np.concatenate([self.slot, np.full(v * len(order), -1)])
         flat = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, total)
         with np.errstate(over="ignore"):
             h = _mix(np.repeat(doc_keys.astype(np.uint64), counts) * U(0x9E3779B97F4A7C15) + place.astype(np.uint64) + U(self.seed) * U(0xC2B2AE3D27D4EB4F))
-        flat = flat * self.variants + (h % U(self.variants)).astype(np.int64)
+        flat = flat * v + (h % U(v)).astype(np.int64)
+        # only the variants that are asked for are made
+        asked = np.unique(flat[self.slot[flat] < 0])
+        if len(asked):
+            which = asked // v
+            with np.errstate(over="ignore"):
+                keys = _mix(self.seeds[which] + (asked % v).astype(np.uint64) * U(0xD6E8FEB86659FD93))
+            ids, sizes = self.merge([self.words[i].replace(" ", SPACE) for i in which.tolist()], keys)
+            self.slot[asked] = np.arange(len(self.sizes), len(self.sizes) + len(asked))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        flat = self.slot[flat]
         sizes = self.sizes[flat]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(self.starts[flat] - ends[:-1], sizes) + np.arange(ends[-1])]
