@@ -128,8 +128,9 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redi
     blocked = members.join(decided, "component").select(F.col("node").alias("blocked_node")).distinct()
     df = df.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     df = df.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
-    # only URLs that no rule decides ask their aliases; the others have no key to join by
-    df = df.withColumn("node", F.when(F.col("fit").isNull(), node_of(F.col("url"))))
+    # only URLs that no rule decides ask their aliases; the others get keys that are no node, spread over all tasks
+    apart = F.concat(F.lit(" "), F.xxhash64("page_id", "url").cast("string"))
+    df = df.withColumn("node", F.coalesce(F.when(F.col("fit").isNull(), node_of(F.col("url"))), apart))
     df = df.join(blocked, F.col("node") == F.col("blocked_node"), "left")
     other = F.when(F.col("blocked_node").isNotNull(), "block").otherwise("allow")
     return df.select("page_id", "url", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), other).alias("verdict"))
