@@ -29,7 +29,7 @@ def tree(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = builder().getOrCreate()
+    spark = builder("local[*]", 8).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     landed = Q.landed_root(spark, sf)
     cur = Q.curated_root(spark, sf)

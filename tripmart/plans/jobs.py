@@ -19,7 +19,7 @@ from tripmart.operators.quality import all_rules, passes
 from tripmart.schemas import CURATED_PARTITIONS
 from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
-from tripmart.sinks.fs import remove
+from tripmart.sinks.fs import children, remove
 from tripmart.sources.tables import month_target, only_month, scan_curated, scan_raw
 
 
@@ -119,18 +119,37 @@ def build_aggregates(
             name: marts.MARTS[name](counted if i == 0 else curated, zones, zone_rows)
             for i, name in enumerate(tables)
         }
-    for i, name in enumerate(tables):
-        out_obs = Observation(name)
-        table = built[name].observe(out_obs, F.count(F.lit(1)).alias("rows"))
-        write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode=mode)
-        report.output_rows[name] = out_obs.get["rows"]
-        if cube_path is None and i == 0:
-            report.input_rows = obs.get["rows"]
-    if cube_path is not None:
-        remove(spark, cube_path)
+    try:
+        for i, name in enumerate(tables):
+            out_obs = Observation(name)
+            table = built[name].observe(out_obs, F.count(F.lit(1)).alias("rows"))
+            write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode=mode)
+            report.output_rows[name] = out_obs.get["rows"]
+            if cube_path is None and i == 0:
+                report.input_rows = obs.get["rows"]
+        if target is not None:
+            # days of the month that lost all their trips since the last refresh
+            days = {str(r["day"]) for r in curated.select(F.col("day").cast("int").alias("day")).distinct().collect()}
+            for name in tables:
+                if "day" in marts.MART_PARTITIONS[name]:
+                    _drop_days(spark, f"{out_root}/{name}", target, days)
+    finally:
+        if cube_path is not None:
+            remove(spark, cube_path)
     return report
 
 
+def _drop_days(spark: SparkSession, mart_root: str, target: tuple, days: set[str]) -> None:
+    """Remove the day partitions of the target month that are not among ``days``."""
+    wanted = [int(x) for x in target]
+    for y in children(spark, mart_root):
+        for m in children(spark, f"{mart_root}/{y}") if y == f"year={wanted[0]}" else []:
+            if m.startswith("month=") and int(m[6:]) == wanted[1]:
+                for d in children(spark, f"{mart_root}/{y}/{m}"):
+                    if d.startswith("day=") and str(int(d[4:])) not in days:
+                        remove(spark, f"{mart_root}/{y}/{m}/{d}")
+
+
 def run_all(
     spark: SparkSession,
     raw_root: str,

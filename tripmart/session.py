@@ -2,7 +2,7 @@
 
 All intermediate tables (landing copies, round trips, stream checkpoints)
 live under the cluster's shared checkpoint directory.  A session that has
-none (a laptop, a test) gets a fresh temporary one.
+none gets a fresh temporary one on a local master, and is refused elsewhere.
 """
 
 from __future__ import annotations
@@ -29,9 +29,13 @@ SESSION_CONF = {
 }
 
 
-def builder(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession.Builder:
-    b = SparkSession.builder.master(master).appName("tripmart")
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+def builder(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession.Builder:
+    """A session builder; without arguments the submit decides on master and parallelism."""
+    b = SparkSession.builder.appName("tripmart")
+    if master is not None:
+        b = b.master(master)
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
@@ -57,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

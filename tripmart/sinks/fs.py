@@ -17,6 +17,12 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly under ``path``; none if it does not exist."""
+    fs, p = _fs_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch directory this library wrote."""
     fs, p = _fs_path(spark, path)

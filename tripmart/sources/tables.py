@@ -66,14 +66,13 @@ def register_table(
     partition_by: list[str] | None = None,
 ) -> None:
     """Define an external parquet table over ``path`` and discover its partitions."""
+    quoted = ".".join("`" + p.strip("`").replace("`", "``") + "`" for p in name.split("."))
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{parts} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {quoted} ({cols}) USING parquet{parts} LOCATION '{location}'")
     if partition_by:
-        try:
-            spark.catalog.recoverPartitions(name)
-        except Exception:  # noqa: BLE001 - catalogs without partition metadata
-            pass
+        spark.catalog.recoverPartitions(quoted)
 
 
 def scan_catalog_table(spark: SparkSession, name: str) -> DataFrame:

@@ -23,7 +23,9 @@ Exactly-once output:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import marts
@@ -112,6 +114,20 @@ def read_curated(spark: SparkSession, root: str) -> DataFrame:
     return scan_curated(spark, root)
 
 
+def partitions_in(names: list[str], values: Iterable[tuple]) -> Column:
+    """Rows in one of the given partitions: a literal filter, the last column's values listed by the others'."""
+    groups: dict[tuple, list] = {}
+    for v in sorted(set(values)):
+        groups.setdefault(v[:-1], []).append(v[-1])
+    out = F.lit(False)
+    for head, last in groups.items():
+        one = F.col(names[-1]).isin(last)
+        for name, value in zip(names, head):
+            one = one & (F.col(name) == F.lit(value))
+        out = out | one
+    return out
+
+
 def refresh_aggregates(
     spark: SparkSession,
     curated_root: str,
@@ -145,23 +161,25 @@ def refresh_aggregates(
                 write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode="append")
             batches.append(batch_id)
             return
-        # The days this batch touched: a key set bounded by the calendar,
-        # broadcast into semi joins so every scan below is pruned to those
-        # partitions at run time (dynamic partition pruning).
-        days = new.select(*CURATED_PARTITIONS).distinct()
+        # The days this batch touched, read from the batch once: a key set
+        # bounded by the calendar, turned into a literal partition filter so
+        # the scans below list and open only those partitions.
+        days = [tuple(r) for r in new.select(*CURATED_PARTITIONS).distinct().collect()]
+        if not days:
+            batches.append(batch_id)
+            return
         # 1. Partials of the touched days, recomputed from all curated trips
         #    of those days (late trips included), replace those days.
-        trips = scan_curated(spark, curated_root).join(F.broadcast(days), CURATED_PARTITIONS, "left_semi")
+        trips = scan_curated(spark, curated_root).where(partitions_in(CURATED_PARTITIONS, days))
         cube = marts.with_date_parts(marts.partials(trips, marts.CUBE_KEYS), CURATED_PARTITIONS)
         write_table(cube, cube_root, CURATED_PARTITIONS, mode="dynamic")
         # 2. Each mart partition that holds a touched day is rolled up again
         #    from the (much smaller) partials: days for the zone mart, whole
         #    months for the y/m-partitioned marts.
-        parts = spark.read.parquet(cube_root)
+        parts = spark.read.schema(cube.schema).parquet(cube_root)
         for name in tables:
             grain = marts.MART_PARTITIONS[name]
-            touched = days.select(*grain).distinct()
-            source = parts.join(F.broadcast(touched), grain, "left_semi")
+            source = parts.where(partitions_in(grain, {d[: len(grain)] for d in days}))
             table = marts.marts_from_cube(source, zones, zone_rows)[name]
             write_table(table, f"{out_root}/{name}", grain, mode="dynamic")
         batches.append(batch_id)
