@@ -1,8 +1,8 @@
 """Trip -> zone enrichment: the zone dimension joined in two roles.
 
 The dimension is checked once (one tiny aggregation) for duplicate keys
-and for size.  Only a dimension below ``BROADCAST_MAX_ROWS`` is broadcast;
-a larger one falls back to a shuffle join that AQE may still convert.
+and for its size in bytes.  Only one of at most ``BROADCAST_MAX_BYTES`` is
+broadcast; a larger one falls back to a shuffle join that AQE may still convert.
 The same DataFrame serves both roles, so the broadcast is built once and
 reused (``ReusedExchange``).
 """
@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Largest zone table broadcast to every executor (a few MB at most).
-BROADCAST_MAX_ROWS = 200_000
+# Largest zone table, as its measured size, broadcast to every executor.
+BROADCAST_MAX_BYTES = 16 << 20
+# What a row takes besides its text.
+ROW_BYTES = 64
 
 ENRICHED_TRIP_COLUMNS = [
     "trip_date",
@@ -40,30 +43,35 @@ class DimensionError(ValueError):
 
 
 def check_zones(zones: DataFrame) -> int:
-    """Raise on an empty zone table or duplicate ``LocationID``; return its rows."""
-    rows, keys = zones.agg(
-        F.count(F.lit(1)), F.count_distinct("LocationID")
+    """Raise on an empty zone table or duplicate ``LocationID``; return its bytes.
+
+    Rows without an id can't match any trip, so they duplicate nothing.
+    """
+    text = sum((F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in zones.schema.fields
+                if isinstance(f.dataType, StringType)), F.lit(ROW_BYTES))
+    rows, ids, keys, size = zones.agg(
+        F.count(F.lit(1)), F.count("LocationID"), F.count_distinct("LocationID"), F.sum(text.cast("long"))
     ).first()
     if rows == 0:
         raise DimensionError("zone lookup table is empty")
-    if keys != rows:
+    if keys != ids:
         raise DimensionError(
-            f"zone lookup has {rows} rows but {keys} distinct LocationID values; "
+            f"zone lookup has {ids} rows with an id but {keys} distinct LocationID values; "
             "a duplicate key would multiply trips"
         )
-    return rows
+    return size
 
 
-def sized_for_join(zones: DataFrame, rows: int | None = None) -> DataFrame:
+def sized_for_join(zones: DataFrame, size: int | None = None) -> DataFrame:
     """The checked dimension, broadcast only when its size is proven small."""
-    rows = check_zones(zones) if rows is None else rows
-    return F.broadcast(zones) if rows <= BROADCAST_MAX_ROWS else zones
+    size = check_zones(zones) if size is None else size
+    return F.broadcast(zones) if size <= BROADCAST_MAX_BYTES else zones
 
 
 def enrich_zones(
     trips: DataFrame,
     zones: DataFrame,
-    checked_rows: int | None = None,
+    checked_size: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Trips with pickup and dropoff borough/zone/service zone (left joins).
@@ -71,21 +79,16 @@ def enrich_zones(
     Unknown ids keep the trip with NULL names.  ``keep`` lists the trip
     columns carried along (default: those the marts use).
     """
-    dim = sized_for_join(zones, checked_rows)
+    dim = sized_for_join(zones, checked_size)
     pu, do = dim.alias("pu"), dim.alias("do")
     t = trips.alias("t")
     joined = t.join(pu, F.col("t.PULocationID") == F.col("pu.LocationID"), "left").join(
         do, F.col("t.DOLocationID") == F.col("do.LocationID"), "left"
     )
-    names = {f"{role}_{dst}": F.col(f"{alias}.{src}")
-             for alias, role in ZONE_ROLES.items() for src, dst in ZONE_FIELDS.items()}
-    order = [
-        "pickup_borough", "pickup_zone", "pickup_service_zone",
-        "dropoff_borough", "dropoff_zone", "dropoff_service_zone",
-    ]
     return joined.select(
         *[F.col(f"t.{c}") for c in (keep or ENRICHED_TRIP_COLUMNS)],
-        *[names[n].alias(n) for n in order],
+        *[F.col(f"{alias}.{src}").alias(f"{role}_{dst}")
+          for alias, role in ZONE_ROLES.items() for src, dst in ZONE_FIELDS.items()],
     )
 
 

@@ -93,20 +93,19 @@ def with_date_parts(df: DataFrame, parts: list[str]) -> DataFrame:
     return df.withColumns({p: fns[p]("trip_date") for p in parts})
 
 
-def borough_from(parts: DataFrame, zones: DataFrame | None = None, checked_rows: int | None = None,
+def borough_from(parts: DataFrame, zones: DataFrame | None = None, checked_size: int | None = None,
                  grouped: bool = False) -> DataFrame:
     """daily_borough from partials.
 
     ``grouped``: already one row per ``BOROUGH_KEYS``.  Otherwise the parts
-    are keyed by zone ids (at least ``BOROUGH_ID_KEYS``): merged to those
-    ids, joined to the borough names and merged again.
+    are keyed by zone ids (at least ``BOROUGH_ID_KEYS``): joined to the
+    borough names and merged once, by the coarser key.
     """
     if grouped:
         agg = parts
     else:
         keep = BOROUGH_ID_KEYS + PARTIAL_COLUMNS
-        ids = merge(parts, BOROUGH_ID_KEYS) if set(parts.columns) - set(keep) else parts
-        agg = merge(enrich_zones(ids, zones, checked_rows, keep=keep), BOROUGH_KEYS)
+        agg = merge(enrich_zones(parts, zones, checked_size, keep=keep), BOROUGH_KEYS)
     out = agg.select(
         *BOROUGH_KEYS,
         F.col("n").alias("trip_count"),
@@ -119,7 +118,7 @@ def borough_from(parts: DataFrame, zones: DataFrame | None = None, checked_rows:
     return with_date_parts(out, MART_PARTITIONS["daily_borough"])
 
 
-def zone_from(parts: DataFrame, zones: DataFrame, checked_rows: int | None = None,
+def zone_from(parts: DataFrame, zones: DataFrame, checked_size: int | None = None,
               grouped: bool = False) -> DataFrame:
     """daily_zone from partials (``grouped``: already one row per ``ZONE_KEYS``)."""
     agg = (parts if grouped else merge(parts, ZONE_KEYS)).select(
@@ -131,7 +130,7 @@ def zone_from(parts: DataFrame, zones: DataFrame, checked_rows: int | None = Non
         mean("amount").alias("avg_fare_per_trip"),
         total("pay").alias("total_driver_pay"),
     )
-    named = enrich_zones(agg, zones, checked_rows, keep=agg.columns)
+    named = enrich_zones(agg, zones, checked_size, keep=agg.columns)
     out = named.select(*agg.columns, *ZONE_NAME_COLUMNS)
     return with_date_parts(out, MART_PARTITIONS["daily_zone"])
 
@@ -148,24 +147,24 @@ def service_from(parts: DataFrame, grouped: bool = False) -> DataFrame:
     return with_date_parts(agg, MART_PARTITIONS["daily_service"])
 
 
-def daily_borough(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+def daily_borough(trips: DataFrame, zones: DataFrame, checked_size: int | None = None) -> DataFrame:
     """Per day and borough pair; boroughs of unknown ids are NULL (own group).
 
     Here the join comes first: the broadcast probe is map-side and cheap,
     and the partial aggregation that follows is keyed by borough pair (a
     few dozen per day) instead of zone pair, so far less is shuffled.
     """
-    enriched = enrich_zones(trips, zones, checked_rows)
+    enriched = enrich_zones(trips, zones, checked_size)
     return borough_from(partials(enriched, BOROUGH_KEYS), grouped=True)
 
 
-def daily_zone(trips: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+def daily_zone(trips: DataFrame, zones: DataFrame, checked_size: int | None = None) -> DataFrame:
     """Per day and zone pair, with the six zone names."""
-    return zone_from(partials(trips, ZONE_KEYS), zones, checked_rows, grouped=True)
+    return zone_from(partials(trips, ZONE_KEYS), zones, checked_size, grouped=True)
 
 
 def daily_service(trips: DataFrame, zones: DataFrame | None = None,
-                  checked_rows: int | None = None) -> DataFrame:
+                  checked_size: int | None = None) -> DataFrame:
     """Per day and service flags."""
     return service_from(partials(trips, SERVICE_KEYS), grouped=True)
 
@@ -177,11 +176,11 @@ MARTS = {
 }
 
 
-def marts_from_cube(cube: DataFrame, zones: DataFrame, checked_rows: int | None = None) -> dict[str, DataFrame]:
+def marts_from_cube(cube: DataFrame, zones: DataFrame, checked_size: int | None = None) -> dict[str, DataFrame]:
     """All three marts rolled up from partials at ``CUBE_KEYS``."""
     return {
-        "daily_borough": borough_from(cube, zones, checked_rows),
-        "daily_zone": zone_from(cube, zones, checked_rows),
+        "daily_borough": borough_from(cube, zones, checked_size),
+        "daily_zone": zone_from(cube, zones, checked_size),
         "daily_service": service_from(cube),
     }
 

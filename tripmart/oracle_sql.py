@@ -378,3 +378,11 @@ ORACLE.update({
     "shared_scan_zone": sql_daily_zone(),
     "shared_scan_service": sql_daily_service(),
 })
+
+ORACLE.update({
+    **{f"{job}_zone": sql_daily_zone() for job in ("target_month_refresh", "incremental_aggregate", "chained_run")},
+    **{f"{job}_service": sql_daily_service() for job in ("target_month_refresh", "incremental_aggregate", "chained_run")},
+    "chained_run_borough": sql_daily_borough(),
+    "pipeline_summary": sql_job_summary(),
+    "curated_other_types": VALID_ROWS,
+})

@@ -16,7 +16,7 @@ from tripmart.operators import marts
 from tripmart.operators.curate import curate_trips
 from tripmart.operators.enrich import check_zones
 from tripmart.operators.quality import all_rules, passes
-from tripmart.schemas import CURATED_PARTITIONS
+from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_PARTITIONS
 from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
 from tripmart.sinks.fs import children, remove
@@ -27,6 +27,20 @@ class EmptyInputError(ValueError):
     pass
 
 
+class TableOwnedError(RuntimeError):
+    pass
+
+
+def guard_layout(spark: SparkSession, out: str, incremental: bool) -> None:
+    """Refuse a curated table that the other mode owns: their layouts can't be mixed."""
+    names = children(spark, out)
+    batches = any(n.startswith(f"{BATCH_COLUMN}=") for n in names)
+    plain = any(n.startswith(f"{CURATED_PARTITIONS[0]}=") for n in names)
+    if plain if incremental else batches:
+        owner = "a full rebuild" if incremental else "incremental runs"
+        raise TableOwnedError(f"{out} is kept by {owner}; use another output folder")
+
+
 @dataclass
 class StepReport:
     input_rows: int = 0
@@ -63,7 +77,8 @@ def build_curated(
 ) -> StepReport:
     """Full rebuild of the curated table (replaces it), partitioned y/m/d."""
     prepare(spark)
-    raw = scan_raw(spark, raw_root) if raw is None else raw
+    guard_layout(spark, out, incremental=False)
+    raw = scan_raw(spark, raw_root, extra=(CBD_FEE,) if use_cbd_fee else ()) if raw is None else raw
     if raw.isEmpty():
         raise EmptyInputError(f"no raw trips under {raw_root}")
     obs = Observation("curate")
@@ -156,8 +171,14 @@ def run_all(
     zones: DataFrame,
     curated_root: str,
     marts_root: str,
+    year: int | str | None = None,
+    month: int | str | None = None,
 ) -> dict[str, StepReport]:
-    """Raw -> curated -> marts; the second step runs only if the first succeeded."""
+    """Raw -> curated -> marts; the second step runs only if the first succeeded.
+
+    ``year`` and ``month`` limit the second step to one month of the marts.
+    """
+    month_target(year, month)
     first = build_curated(spark, raw_root, curated_root)
-    second = build_aggregates(spark, curated_root, zones, marts_root)
+    second = build_aggregates(spark, curated_root, zones, marts_root, year, month)
     return {"curate": first, "aggregate": second}

@@ -261,7 +261,7 @@ def incremental_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         for wave in (first_wave(r), later_waves(r)):
             land_raw(wave, landing, mode="dynamic")
             refresh_curated(spark, landing, cur, cur_ck)
-            refresh_aggregates(spark, cur, z, out, out_ck, tables=("daily_borough",))
+            refresh_aggregates(spark, cur, z, out, out_ck)
         return cur, out
 
     return _memo(spark, sf_dir, "incremental", make)
@@ -297,9 +297,12 @@ def q_scan_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.schemas import RAW_LANDED
     from tripmart.sources.tables import register_table, scan_catalog_table
 
-    name = f"tripmart_raw_{uuid.uuid4().hex[:10]}"
-    register_table(spark, name, landed_root(spark, sf_dir), RAW_LANDED, ["year", "month"])
-    return comparable(scan_catalog_table(spark, name))
+    def make():
+        name = f"tripmart_raw_{uuid.uuid4().hex[:10]}"
+        register_table(spark, name, landed_root(spark, sf_dir), RAW_LANDED, ["year", "month"])
+        return name
+
+    return comparable(scan_catalog_table(spark, _memo(spark, sf_dir, "catalog-table", make)))
 
 
 @register("roundtrip_curated_overwrite")
@@ -339,21 +342,37 @@ def q_roundtrip_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(scan_curated(spark, path))
 
 
-@register("target_month_refresh")
-def q_target_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def refreshed_root(spark: SparkSession, sf_dir: str) -> str:
+    """The marts after a one-month refresh."""
     from tripmart.plans.jobs import build_aggregates
     from tripmart.sources.tables import month_target, scan_curated
 
-    root = curated_root(spark, sf_dir)
-    out = work_dir(spark, "refresh-marts")
-    z = zones(spark, sf_dir)
-    y, m = month_target(TARGET_YEAR, TARGET_MONTH)
-    # The marts are first built while the target month was still missing ...
-    stale = scan_curated(spark, root).where(~((F.col("year") == y) & (F.col("month") == m)))
-    build_aggregates(spark, root, z, out, tables=("daily_borough",), curated=stale)
-    # ... then only that month is read and replaced; all others stay.
-    build_aggregates(spark, root, z, out, TARGET_YEAR, TARGET_MONTH, tables=("daily_borough",))
-    return spark.read.parquet(f"{out}/daily_borough")
+    def make():
+        root, out, z = curated_root(spark, sf_dir), work_dir(spark, "refresh-marts"), zones(spark, sf_dir)
+        y, m = month_target(TARGET_YEAR, TARGET_MONTH)
+        # The marts are first built while the target month was still missing ...
+        stale = scan_curated(spark, root).where(~((F.col("year") == y) & (F.col("month") == m)))
+        build_aggregates(spark, root, z, out, curated=stale)
+        # ... then only that month is read and replaced; all others stay.
+        build_aggregates(spark, root, z, out, TARGET_YEAR, TARGET_MONTH)
+        return out
+
+    return _memo(spark, sf_dir, "refreshed", make)
+
+
+@register("target_month_refresh")
+def q_target_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{refreshed_root(spark, sf_dir)}/daily_borough")
+
+
+@register("target_month_refresh_zone")
+def q_target_month_refresh_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{refreshed_root(spark, sf_dir)}/daily_zone")
+
+
+@register("target_month_refresh_service")
+def q_target_month_refresh_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{refreshed_root(spark, sf_dir)}/daily_service")
 
 
 @register("curated_trips")
@@ -377,6 +396,78 @@ def q_incremental_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/daily_borough")
 
 
+@register("incremental_aggregate_zone")
+def q_incremental_aggregate_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, out = incremental_roots(spark, sf_dir)
+    return spark.read.parquet(f"{out}/daily_zone")
+
+
+@register("incremental_aggregate_service")
+def q_incremental_aggregate_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, out = incremental_roots(spark, sf_dir)
+    return spark.read.parquet(f"{out}/daily_service")
+
+
+# ---- both jobs chained, with their defaults ------------------------------------
+
+def chained_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Curated table and marts written by one chained run."""
+    from tripmart.plans.jobs import run_all
+
+    def make():
+        cur, out = work_dir(spark, "chain-curated"), work_dir(spark, "chain-marts")
+        run_all(spark, landed_root(spark, sf_dir), zones(spark, sf_dir), cur, out)
+        return cur, out
+
+    return _memo(spark, sf_dir, "chained", make)
+
+
+@register("chained_run_borough")
+def q_chained_run_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{chained_roots(spark, sf_dir)[1]}/daily_borough")
+
+
+@register("chained_run_zone")
+def q_chained_run_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{chained_roots(spark, sf_dir)[1]}/daily_zone")
+
+
+@register("chained_run_service")
+def q_chained_run_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{chained_roots(spark, sf_dir)[1]}/daily_service")
+
+
+@register("pipeline_summary")
+def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the written tables: counted from their files, nothing is computed again."""
+    from tripmart.operators.reports import row_summary
+    from tripmart.sources.tables import scan_curated
+
+    cur, out = chained_roots(spark, sf_dir)
+    written = scan_curated(spark, cur)
+    return row_summary(written, {"curated_trips": written, **{n: spark.read.parquet(f"{out}/{n}") for n in marts.MARTS}})
+
+
+@register("curated_other_types")
+def q_curated_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curate job over a landing with bigint ids and decimal money."""
+    from tripmart.plans.jobs import build_curated
+    from tripmart.sources.landing import land_raw
+    from tripmart.sources.tables import scan_curated
+
+    def make():
+        root, out = work_dir(spark, "landing-types"), work_dir(spark, "curated-types")
+        r = raw(spark, sf_dir)
+        ids = {c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")}
+        # charges that a decimal holds exactly, so the SQL of the plain landing applies
+        money = {c: F.col(c).cast("decimal(18,6)") for c in ("bcf", "congestion_surcharge", "airport_fee")}
+        land_raw(r.withColumns({**ids, **money}), root)
+        build_curated(spark, root, out)
+        return out
+
+    return comparable(scan_curated(spark, _memo(spark, sf_dir, "curated-types", make)))
+
+
 # ---- landing operators (J) -----------------------------------------------------
 
 @register("latest_month")

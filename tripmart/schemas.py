@@ -84,6 +84,8 @@ RAW_PARTITIONS = StructType(
     [StructField("year", IntegerType()), StructField("month", IntegerType())]
 )
 RAW_LANDED = StructType(RAW.fields + RAW_PARTITIONS.fields)
+# Newer source files carry this fee too; files without it read as null.
+CBD_FEE = StructField("cbd_congestion_fee", DoubleType())
 
 ZONE = StructType(
     [

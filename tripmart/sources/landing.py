@@ -71,6 +71,23 @@ def months_to_land(source: DataFrame, landed: DataFrame) -> DataFrame:
     return available.join(present, MONTH_KEYS, "left_anti")
 
 
+def landed_files(table: DataFrame) -> DataFrame:
+    """One row per file of a landing scan: its month, name, size and rows."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return table.select(
+        *MONTH_KEYS, name.alias("file_name"), F.col("_metadata.file_size").alias("file_size")
+    ).groupBy(*MONTH_KEYS, "file_name").agg(F.max("file_size").alias("file_size"), F.count(F.lit(1)).alias("rows"))
+
+
+def files_to_land(source: DataFrame, landed: DataFrame) -> DataFrame:
+    """Files offered by ``source`` whose key (month and name) is not landed yet.
+
+    A month that is landed in part still yields its other files. Both sides
+    must be file scans, laid out by month.
+    """
+    return landed_files(source).join(landed_files(landed).select(*MONTH_KEYS, "file_name"), [*MONTH_KEYS, "file_name"], "left_anti")
+
+
 def landing_manifest(landed: DataFrame, time_column: str = "pickup_datetime") -> DataFrame:
     """Per landed month: rows, files, bytes and the period the rows cover.
 

@@ -1,22 +1,46 @@
 """Table scans: landed raw trips, curated trips, zone CSV, catalog tables.
 
-Scans always carry an explicit schema (no footer or CSV inference pass)
-and express month targeting as a filter on partition columns, which
+Raw trips are read in the types their files have; all other scans carry an
+explicit schema. Month targeting is a filter on partition columns, which
 Spark turns into partition pruning (``PartitionFilters`` in the plan).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from tripmart.schemas import BATCH_COLUMN, CURATED_ANY_LAYOUT, RAW_LANDED, ZONE
+from tripmart.schemas import BATCH_COLUMN, CURATED_ANY_LAYOUT, RAW, RAW_LANDED, RAW_PARTITIONS, ZONE
 
 
-def scan_raw(spark: SparkSession, root: str, schema: StructType = RAW_LANDED) -> DataFrame:
-    """Raw trips under ``root/year=Y/month=M/``; partition columns included."""
-    return spark.read.schema(schema).parquet(root)
+def landed_schema(spark: SparkSession, root: str, extra: tuple[StructField, ...] = ()) -> StructType:
+    """The raw columns under ``root`` in the types of its files (one footer is read).
+
+    A landing may hold ids as bigint or money as decimal; curation casts
+    them. Columns that the footer lacks, and ``extra`` ones, take their
+    declared type and read as null; an empty landing has the declared types.
+    """
+    try:
+        found = {f.name: f for f in spark.read.parquet(root).schema.fields}
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        found = {}
+    partitions = RAW_PARTITIONS.fieldNames()
+    data = [found.get(f.name, f) for f in (*RAW.fields, *extra)]
+    return StructType(data + [f for f in RAW_LANDED.fields if f.name in partitions])
+
+
+def scan_raw(spark: SparkSession, root: str, schema: StructType | None = None,
+             extra: tuple[StructField, ...] = ()) -> DataFrame:
+    """Raw trips under ``root/year=Y/month=M/``; partition columns included.
+
+    Without ``schema`` the types come from the files; give one for a landing
+    whose files differ (bigint, say, reads int files as well).
+    """
+    return spark.read.schema(schema or landed_schema(spark, root, extra)).parquet(root)
 
 
 def scan_curated(spark: SparkSession, root: str) -> DataFrame:

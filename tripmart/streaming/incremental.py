@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import marts
 from tripmart.operators.enrich import check_zones
-from tripmart.plans.jobs import curate_and_validate
-from tripmart.schemas import BATCH_COLUMN, CURATED_ANY_LAYOUT, CURATED_PARTITIONS, RAW_LANDED
+from tripmart.plans.jobs import curate_and_validate, guard_layout
+from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_ANY_LAYOUT, CURATED_PARTITIONS
 from tripmart.session import prepare
 from tripmart.sinks import write_table
 from tripmart.sinks.fs import has_files
-from tripmart.sources.tables import scan_curated
+from tripmart.sources.tables import landed_schema, scan_curated
 
 # Files per micro-batch: a backfill of a large landing zone runs as a series
 # of bounded batches (each replayable on its own), not as one huge batch.
@@ -85,10 +85,12 @@ def refresh_curated(
 ) -> list[dict]:
     """Curate the raw files not seen before; returns per-batch counts."""
     prepare(spark)
+    guard_layout(spark, out, incremental=True)
     guard_checkpoint(spark, out, checkpoint)
+    schema = landed_schema(spark, raw_root, (CBD_FEE,) if use_cbd_fee else ())
     reports: list[dict] = []
     stream = (
-        spark.readStream.schema(RAW_LANDED)
+        spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(raw_root)
     )
@@ -186,3 +188,18 @@ def refresh_aggregates(
 
     _run(stream, batch, checkpoint)
     return batches
+
+
+def refresh_all(
+    spark: SparkSession,
+    raw_root: str,
+    zones: DataFrame,
+    curated_root: str,
+    curated_checkpoint: str,
+    marts_root: str,
+    marts_checkpoint: str,
+) -> dict[str, list]:
+    """New raw files -> curated -> marts; the second step runs only if the first succeeded."""
+    first = refresh_curated(spark, raw_root, curated_root, curated_checkpoint)
+    second = refresh_aggregates(spark, curated_root, zones, marts_root, marts_checkpoint)
+    return {"curate": first, "aggregate": second}
