@@ -238,14 +238,8 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_root(spark: SparkSession, sf_dir: str) -> str:
-    from tripmart.plans.jobs import build_curated
-
-    def make():
-        out = work_dir(spark, "curated")
-        build_curated(spark, landed_root(spark, sf_dir), out)
-        return out
-
-    return _memo(spark, sf_dir, "curated", make)
+    """The curated table that the chained run wrote."""
+    return chained_roots(spark, sf_dir)[0]
 
 
 def incremental_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -450,22 +444,21 @@ def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("curated_other_types")
 def q_curated_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The curate job over a landing with bigint ids and decimal money."""
-    from tripmart.plans.jobs import build_curated
+    """Curated and validated rows of a landing with bigint ids and decimal money."""
     from tripmart.sources.landing import land_raw
-    from tripmart.sources.tables import scan_curated
+    from tripmart.sources.tables import scan_raw
 
     def make():
-        root, out = work_dir(spark, "landing-types"), work_dir(spark, "curated-types")
+        root = work_dir(spark, "landing-types")
         r = raw(spark, sf_dir)
         ids = {c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")}
         # charges that a decimal holds exactly, so the SQL of the plain landing applies
         money = {c: F.col(c).cast("decimal(18,6)") for c in ("bcf", "congestion_surcharge", "airport_fee")}
         land_raw(r.withColumns({**ids, **money}), root)
-        build_curated(spark, root, out)
-        return out
+        return root
 
-    return comparable(scan_curated(spark, _memo(spark, sf_dir, "curated-types", make)))
+    landed_rows = scan_raw(prepare(spark), _memo(spark, sf_dir, "landing-types", make))
+    return comparable(quality.validate_trips(curate_trips(landed_rows)))
 
 
 # ---- landing operators (J) -----------------------------------------------------
