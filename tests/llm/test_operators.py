@@ -240,6 +240,8 @@ def test_pieces(docs, edge, empty):
         first = sorted(map(str, a.collect()))
         assert first == sorted(map(str, a.collect())) and first != sorted(map(str, b.collect()))
     assert encode_documents(empty, PIECES).count() == 0
+    marked = docs.sparkSession.createDataFrame([(1, "a▁b ▁ c"), (2, "▁")], "doc_id long, text string")
+    assert sorted(map(tuple, decode_documents(encode_documents(marked, PIECES), PIECES).collect())) == [(1, "a▁b ▁ c"), (2, "▁")]
 
 
 def test_pieces_without_dropout_are_the_library_s(docs):

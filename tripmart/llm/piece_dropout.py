@@ -11,7 +11,8 @@ word's best candidate that is left (highest score, leftmost), so every word
 sees the merges of its own agenda in order. Words never join across spaces,
 so a word's pieces depend only on the word, the seed and one of VARIANTS
 variants, chosen by a keyed hash of the document and the word's place.
-Characters outside the vocabulary become byte pieces.
+Characters outside the vocabulary become byte pieces, and so does SentencePiece's
+own mark for a space, so that it isn't decoded as one.
 
 Defined results: null and empty texts have no pieces; white space is kept;
 very long words go the same way; repeated rows with equal doc_id get equal
@@ -36,6 +37,7 @@ SEED = 1
 VARIANTS = 4
 SLICE_CHARS = 2 << 20
 HELD_WORDS = 400_000
+SLOT_BITS = 20
 SPACE = "▁"
 UNIT = re.compile(" +[^ ]*")
 U = np.uint64
@@ -61,13 +63,48 @@ class PieceEncoder:
         self.byte_of = {i: b for b, i in enumerate(self.bytes)}
         self.special = frozenset(i for i in range(n) if sp.is_control(i) or sp.is_unknown(i))
         self.seed, self.rate, self.variants, self.n = seed, rate, variants if rate else 1, n
-        # every way to make a piece of two pieces: (left, right) -> made, with its score
+        # every way to make a piece of two pieces: (left, right) -> made; the last entry stands for no pair
         made = sorted((self.number[p[:k]] * n + self.number[p[k:]], i) for p, i in self.number.items() for k in range(1, len(p)) if p[:k] in self.number and p[k:] in self.number)
-        self.pairs = np.array([x[0] for x in made], np.int64)
-        self.made = np.array([x[1] for x in made], np.int64)
-        self.score = np.array([sp.get_score(i) for i in range(n)])
+        self.pairs = np.array([x[0] for x in made] + [1 << 62], np.int64)
+        self.made = np.array([x[1] for x in made] + [0], np.int32)
+        score = np.array([sp.get_score(i) for i in range(n)])
+        # places in the order of scores, the highest first; pieces of one score share a place
+        self.rank = np.append(np.unique(-score[self.made[:-1]], return_inverse=True)[1], n).astype(np.int64)
+        # a space is SentencePiece's mark; the mark itself, where a text has it, is spelt in bytes
+        self.letter = np.full(0x110000, -1, np.int32)
+        for p, i in self.number.items():
+            if len(p) == 1:
+                self.letter[ord(" " if p == SPACE else p)] = i
+        # pairs by hash, the next slot where one is taken
+        self.slots, self.probes = np.full(1 << SLOT_BITS, len(made), np.int32), 0
+        left = np.arange(len(made))
+        while len(left):
+            at = self._slot(self.pairs[left]) + self.probes & (1 << SLOT_BITS) - 1
+            free = self.slots[at] == len(made)
+            self.slots[at[free]] = left[free]
+            left = left[self.slots[at] != left]
+            self.probes += 1
         self._forget()
 
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (codes.view(np.uint64) * U(0x9E3779B97F4A7C15) >> U(64 - SLOT_BITS)).astype(np.int64)
+
+    def _pair(self, codes: np.ndarray) -> np.ndarray:
+        """Numbers of pairs by their codes; the last one stands for no pair."""
+        slot = self._slot(codes)
+        out = self.slots[slot]
+        left = np.flatnonzero(self.pairs[out] != codes)
+        for probe in range(1, self.probes + 1):
+            # an empty slot ends the search
+            left = left[out[left] != len(self.pairs) - 1]
+            if not len(left):
+                return out
+            out[left] = self.slots[slot[left] + probe & (1 << SLOT_BITS) - 1] if probe < self.probes else len(self.pairs) - 1
+            left = left[self.pairs[out[left]] != codes[left]]
+        return out
+
     def _forget(self) -> None:
         """A word is a number; slot[number * variants + variant] tells where its pieces lie, -1 if not made yet."""
         self.held: dict[str, int] = {}
@@ -78,51 +115,64 @@ class PieceEncoder:
     def merge(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of the words under their keys, one word after another, and each word's number of pieces."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        chars = "".join(words)
-        strange = sorted(set(chars).difference(self.number))
-        code = {c: i for i, c in enumerate(strange, self.n)}
-        code.update((c, self.number[c]) for c in set(chars) & self.number.keys())
-        sym = np.fromiter(map(code.__getitem__, chars), np.int64, len(chars))
-        word = np.repeat(np.arange(len(words)), lengths)
-        at = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # where a symbol starts in its word
-        done_sym, done_word, done_at = [], [], []
-        limit = U(min(2**64 - 1, int(self.rate * 2**64)))
-        skipped: np.ndarray | None = None
-        while len(sym):
-            i = np.flatnonzero(word[1:] == word[:-1])
-            code2 = np.where((sym[i] < self.n) & (sym[i + 1] < self.n), sym[i] * self.n + sym[i + 1], -1)
-            k = np.searchsorted(self.pairs, code2)
-            k[k == len(self.pairs)] = 0
-            ok = self.pairs[k] == code2
-            i, k = i[ok], k[ok]
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        sym = self.letter[chars]
+        odd = sym < 0
+        strange, which = np.unique(chars[odd], return_inverse=True)
+        sym[odd] = self.n + which
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        at = (np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)  # where a symbol starts in its word
+        none, limit = len(self.pairs) - 1, U(min(2**64 - 1, int(self.rate * 2**64)))
+
+        def candidates(j: np.ndarray) -> np.ndarray:
+            """The pair that the symbols at j make with the next one of their word; ``none`` if there is none or it is skipped."""
+            out = np.full(len(j), none, np.int32)
+            here = np.flatnonzero(word[j] == word[np.minimum(j + 1, len(word) - 1)])
+            here = here[j[here] + 1 < len(word)]
+            i = j[here]
+            known = (sym[i] < self.n) & (sym[i + 1] < self.n)
+            here, i = here[known], i[known]
+            code = sym[i].astype(np.int64) * self.n + sym[i + 1]
+            k = self._pair(code)
+            ok = k < none
+            here, i, k = here[ok], i[ok], k[ok]
             if self.rate and len(i):
                 # a candidate is known by where its two parts and its end lie in the word
-                stop = np.append(at[1:], 0)
-                last = np.append(word[1:] != word[:-1], True)
-                stop[last] = lengths[word[last]]
+                after = np.minimum(i + 2, len(word) - 1)
+                inside = (i + 2 < len(word)) & (word[after] == word[i])
+                stop = np.where(inside, at[after], lengths[word[i]])
                 with np.errstate(over="ignore"):
-                    h = keys[word[i]] + at[i].astype(np.uint64) * U(0x9E3779B97F4A7C15) + at[i + 1].astype(np.uint64) * U(0xC2B2AE3D27D4EB4F) + stop[i + 1].astype(np.uint64) * U(0x165667B19E3779F9)
+                    h = keys[word[i]] + at[i].astype(np.uint64) * U(0x9E3779B97F4A7C15) + at[i + 1].astype(np.uint64) * U(0xC2B2AE3D27D4EB4F) + stop.astype(np.uint64) * U(0x165667B19E3779F9)
                 stays = _mix(_mix(h)) >= limit
-                i, k = i[stays], k[stays]
+                here, k = here[stays], k[stays]
+            out[here] = k
+            return out
+
+        done_sym, done_word, done_at = [], [], []
+        best = candidates(np.arange(len(sym)))
+        while len(sym):
             # each word's best candidate, the leftmost of equals
-            order = np.lexsort((i, -self.score[self.made[k]], word[i]))
-            i, k = i[order], k[order]
-            first = np.concatenate([[True], word[i][1:] != word[i][:-1]]) if len(i) else np.zeros(0, bool)
-            i, k = i[first], k[first]
-            active = np.zeros(len(words), bool)
-            active[word[i]] = True
-            sym[i] = self.made[k]
-            keep = np.ones(len(sym), bool)
-            keep[i + 1] = False
-            idle = ~active[word]
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            n = len(sym)
+            low = np.minimum.reduceat(self.rank[best] * n + np.arange(n), starts)
+            active = low < self.n * n
+            i = low[active] % n
+            sym[i] = self.made[best[i]]
+            keep = np.repeat(active, np.diff(np.append(starts, n)))
+            idle = ~keep
             done_sym.append(sym[idle]), done_word.append(word[idle]), done_at.append(at[idle])
-            keep &= ~idle
-            sym, word, at = sym[keep], word[keep], at[keep]
+            keep[i + 1] = False
+            changed = np.cumsum(keep)[i] - 1
+            sym, word, at, best = sym[keep], word[keep], at[keep], best[keep]
+            # only a new piece and the one before it have other candidates now
+            before = changed[changed > 0] - 1
+            for j in (changed, before[word[before] == word[before + 1]]):
+                best[j] = candidates(j)
         sym, word, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_sym, done_word, done_at))
         order = np.lexsort((at, word))
         sym, word = sym[order], word[order]
-        if strange:  # characters outside the vocabulary: their bytes
-            spelled = [[self.bytes[b] for b in c.encode()] for c in strange]
+        if len(strange):  # characters outside the vocabulary: their bytes
+            spelled = [[self.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in strange.tolist()]
             size = np.ones(len(sym), np.int64)
             odd = sym >= self.n
             size[odd] = np.array([len(x) for x in spelled])[sym[odd] - self.n]
@@ -161,7 +211,7 @@ class PieceEncoder:
             which = asked // v
             with np.errstate(over="ignore"):
                 keys = _mix(self.seeds[which] + (asked % v).astype(np.uint64) * U(0xD6E8FEB86659FD93))
-            ids, sizes = self.merge([self.words[i].replace(" ", SPACE) for i in which.tolist()], keys)
+            ids, sizes = self.merge([self.words[i] for i in which.tolist()], keys)
             self.slot[asked] = np.arange(len(self.sizes), len(self.sizes) + len(asked))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
