@@ -70,6 +70,7 @@ def test_html_keeps_the_article_only():
     <div class="comments"><p>A reader says much, and more, and even more than that.</p></div></article>
     <aside>side</aside><form>f</form><footer>foot</footer></body></html>"""
     assert extract(page) == "Head & line First, long paragraphs, with commas, and words. Second <one> here item"
+    assert extract('<div data-note="is hidden, id nav" title=hidden><p>Text that is seen, and read, by all.</p></div>') == "Text that is seen, and read, by all."
     assert extract(None) == extract("") == extract("<html></html>") == extract("<p") == ""
     assert extract("<div>" * 3000 + "deep text, deep text, deep text, deep") == "deep text, deep text, deep text, deep"
 
@@ -199,6 +200,8 @@ def test_pii(docs, edge, empty):
     base, added = find([text], field)[0]
     assert [(k, text[s:e]) for k, s, e in base] == [(0, "a.b+c@x.example.com"), (1, "10.0.0.25"), (2, "4111 1111 1111 1111"), (3, "+1 (415) 555-0100")]
     assert [(k, text[s:e]) for k, s, e in added] == [(3, "555-0187")]
+    digits = "7" * 300_000
+    assert find([f"{digits}.1.2.3 1.1.1.1.2.2.2.2 {digits}"], field)[0][0] == [(1, 300_007, 300_014), (1, 300_015, 300_022)]
     out = {r.doc_id: r.text for r in redact(edge.where("doc_id is not null")).collect()}
     assert all(out[i] == t for i, t in enumerate(EDGE))
     assert redact(empty).count() == 0 and redact(edge).columns == edge.columns

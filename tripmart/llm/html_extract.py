@@ -45,7 +45,7 @@ GOOD_WORDS = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:>|\Z)", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 WHITE = re.compile(r"\s+")
 
 
@@ -139,7 +139,7 @@ def parse(html: str) -> Node:
                 at = close(at)
         if tag in VOID:
             continue
-        attrs = {a.lower(): x or y or z or "" for a, x, y, z in ATTR.findall(token)} if len(token) > len(tag) + 2 else {}
+        attrs = {a.lower(): x or y or z or "" for a, x, y, z in ATTR.findall(token, len(tag) + 1)} if len(token) > len(tag) + 2 else {}
         node = Node(tag, at, at.cut or _cut(tag, attrs, articles > 0), f"{attrs.get('class', '')} {attrs.get('id', '')}")
         if tag == "header" and articles:
             node.words += " inner-header"
