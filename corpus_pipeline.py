@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and returns a DataFrame, which ``run`` writes as Parquet and reads again for
 the next one. All but the last return the columns of ``documents``.
+
+Each row gets a verdict of its own: doc_id may be null or stand in several rows.
+The dedup stages number the rows for it, and keep one row of each group.
 """
 
 from __future__ import annotations
@@ -11,27 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Near duplicates: least Jaccard similarity, in per cent, of five-word shingle sets.
 NEAR_PERCENT = 80
+#: The rows' own number in the dedup stages.
+ROW = "_row"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base counts and the distribution rules keep."""
     from tripmart.llm.quality_rules import quality_rules as judge
 
-    return _kept(docs, judge(docs))
+    return judge(docs, carry=tuple(docs.columns)).where("kept").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id."""
+    """Of equal texts, one row with the largest doc_id (a null doc_id is smaller than any other)."""
+    from pyspark.sql import functions as F
+
     from tripmart.llm.exact_dedup import exact_dedup as judge
 
-    return _kept(docs, judge(docs))
+    rows = _numbered(docs, "exact_rows")
+    stay = judge(rows, carry=(ROW,)).where("kept").groupBy("text_sha256").agg(F.min(ROW).alias(ROW))
+    return _staying(rows, stay)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
+    """One row of each group of near duplicates, one with the smallest doc_id (a null doc_id is larger than any other)."""
+    from pyspark.sql import functions as F
+
     from tripmart.llm.minhash_dedup import near_dedup as judge
 
-    return _kept(docs, judge(docs, percent=NEAR_PERCENT))
+    rows = _numbered(docs, "near_rows")
+    # documents are told apart by the row's number, so texts that share a doc_id are compared too
+    judged = judge(rows.select(F.col(ROW).alias("doc_id"), "text"), percent=NEAR_PERCENT).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(ROW).alias(ROW))
+    stay = judged.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).alias("first")).select(f"first.{ROW}")
+    return _staying(rows, stay)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,9 +81,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id the verdicts (doc_id, kept) keep; those with a null doc_id are left out."""
-    return docs.join(judged.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a number of its own for each row, written so that it stays the same."""
+    from pyspark.sql import functions as F
+
+    from tripmart.llm.common import stored
+
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
+def _staying(rows: DataFrame, stay: DataFrame) -> DataFrame:
+    """The numbered rows whose number is in ``stay``, without it."""
+    return rows.join(stay, ROW, "left_semi").drop(ROW)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,10 +196,11 @@ def build_index(docs: DataFrame, index_path: str, range_bits: int) -> DataFrame:
     return dealt.mapInPandas(_owner(index_path, range_bits), "sha string, keep_id long, size long, chain int")
 
 
-def exact_dedup(docs: DataFrame, index_path: str | None = None, range_bits: int | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, index_path: str | None = None, range_bits: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """docs with keep_id, group_size, kept and text_sha256 per row: doc_id and these columns.
 
     ``range_bits``: 2**range_bits key ranges; by default four or more for each shuffle partition.
+    The columns of docs named in ``carry`` go along.
     """
     spark = docs.sparkSession
     if range_bits is None:
@@ -208,6 +209,6 @@ def exact_dedup(docs: DataFrame, index_path: str | None = None, range_bits: int
     path = f"{work_dir(spark, 'exact_groups')}/groups.parquet"
     build_index(docs, index_path, range_bits).write.parquet(path)
     groups = spark.read.schema("sha string, keep_id long, size long, chain int").parquet(path).select("sha", "keep_id", "size")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256).alias("text_sha256"), *carry)
     out = join_hot(rows, groups.withColumnRenamed("sha", "text_sha256"), "text_sha256", "size")
-    return out.select("doc_id", "keep_id", F.col("size").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return out.select("doc_id", "keep_id", F.col("size").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", *carry)

@@ -127,14 +127,16 @@ def _distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)) / 2)
 
 
-def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, base counts, base_failed, char_distance, word_distance, kept.
 
     The histograms are computed once and written; the references (one row a
-    language, MAX_LANGUAGES at most) come from that narrow table.
+    language, MAX_LANGUAGES at most) come from that narrow table. The columns
+    of docs named in ``carry`` go along, as the struct ``row``.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    df = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    row = [F.struct(*carry).alias("row")] if carry else []
+    df = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang"), *row)
     df = _histograms(base_counts(df)).drop("text")
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
     table = stored(df, "quality_histograms")
@@ -155,4 +157,4 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
         "word_distance": F.when(F.col("n_words") >= MIN_WORDS_COMPARED, nearest("pw")).otherwise(0.0),
     })
     kept = ~F.col("base_failed") & (F.col("char_distance") <= max_char_distance) & (F.col("word_distance") <= max_word_distance)
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", kept.alias("kept"))
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", kept.alias("kept"), *(["row"] if carry else []))
