@@ -234,6 +234,26 @@ def test_quality_rules_keep_clean_documents(spark):
     assert np.mean([r.kept for r in got if r.quality == 0]) < 0.3
 
 
+def test_quality_rules_keep_short_clean_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/check_s/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules(docs).join(labels, "doc_id").where("not base_failed and n_words < 200").select("n_words", "kept", "quality").collect()
+    clean = [r.kept for r in got if r.quality == 1]
+    assert len(clean) > 500 and np.mean(clean) > 0.998
+    assert np.mean([r.kept for r in got if r.quality == 0]) < 0.3
+
+
+def test_quality_rules_allow_one_odd_word(spark):
+    prose = "the boat is in the harbour and it waits for a wind that comes to it with the evening of the day " * 40
+    words = prose.split()
+    for n in (50, 80, 120):
+        # no window of three words twice
+        short = " ".join(w if i % 3 else f"{w}{'abcdefghij'[i // 3 % 10]}{'klmnopqrst'[i // 30]}" for i, w in enumerate(words[:n]))
+        rows = [(i, " ".join(f"{w} {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100 % 6]}{'bcdfg'[i % 5]}" if k % 4 == 0 else w for k, w in enumerate(words))) for i in range(40)]
+        rows += [(100, short), (101, f"{short} 4111-1111-1111-1111-111"), (102, f"{short} " + " ".join(f"{i}{i * 7919 % 10007}#{i}" for i in range(n)))]
+        got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert not got[100].base_failed and got[101].kept and not got[102].kept
+
+
 def test_pieces(docs, edge, empty):
     for df in (docs, edge):
         a, b = (encode_documents(df, PIECES, seed).select("doc_id", "ids") for seed in (1, 2))

@@ -5,8 +5,9 @@ first. Documents that pass them are then compared with language references:
 the Jensen-Shannon distance between histograms of character classes and of
 common words. The references are the mean histograms of all documents of a
 language that pass the base counts; a document is held against the nearest
-one, so a wrong or missing language label does no harm. Histograms of short
-texts say little, so each one counts only above its length guard.
+one, so a wrong or missing language label does no harm. In a short text one
+odd word (a card number, an address) moves the histogram far, so the allowed
+distance grows as the text gets shorter, see ``allowed``.
 
 Defined results: null and empty texts have no words and fail the base rule;
 a text without a character of any class, or a table where no document passes
@@ -25,10 +26,10 @@ from tripmart.llm.common import SPACES, stored
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-#: Guards: a histogram counts only from so many characters (words) on.
-MIN_CHARS_COMPARED = 100
-MIN_WORDS_COMPARED = 50
-#: Largest distances (0 to 1) at which a document is kept.
+#: One odd word that a text may hold beside its prose: a card number of 19 digits with four signs between them.
+ODD_CHARS = 23
+ODD_WORDS = 1
+#: Largest distances (0 to 1) at which a document is kept, for long texts; see ``allowed``.
 MAX_CHAR_DISTANCE = 0.16
 MAX_WORD_DISTANCE = 0.29
 #: The language references kept, most documents first.
@@ -127,6 +128,16 @@ def _distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)) / 2)
 
 
+def allowed(distance: float, odd: int, n: Column) -> Column:
+    """Largest distance of a text of ``n`` characters (words) of which ``odd`` are foreign and the rest is at ``distance``.
+
+    The squared distance is convex and 1 at most, so a share e of foreign
+    characters makes of d*d at most (1 - e) * d*d + e.
+    """
+    share = F.least(F.lit(1.0), odd / F.greatest(n, F.lit(1)))
+    return F.sqrt((1 - share) * F.lit(distance * distance) + share)
+
+
 def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, base counts, base_failed, char_distance, word_distance, kept.
 
@@ -153,8 +164,10 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
 
     df = table
     df = df.withColumns({
-        "char_distance": F.when(F.col("word_chars") >= MIN_CHARS_COMPARED, nearest("pc")).otherwise(0.0),
-        "word_distance": F.when(F.col("n_words") >= MIN_WORDS_COMPARED, nearest("pw")).otherwise(0.0),
+        "char_distance": F.when(F.col("word_chars") > 0, nearest("pc")).otherwise(0.0),
+        "word_distance": F.when(F.col("n_words") > 0, nearest("pw")).otherwise(0.0),
     })
-    kept = ~F.col("base_failed") & (F.col("char_distance") <= max_char_distance) & (F.col("word_distance") <= max_word_distance)
+    near = F.col("char_distance") <= allowed(max_char_distance, ODD_CHARS, F.col("word_chars"))
+    near &= F.col("word_distance") <= allowed(max_word_distance, ODD_WORDS, F.col("n_words"))
+    kept = ~F.col("base_failed") & near
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", kept.alias("kept"), *(["row"] if carry else []))
