@@ -242,6 +242,16 @@ def test_quality_rules_keep_short_clean_documents(spark):
     assert np.mean([r.kept for r in got if r.quality == 0]) < 0.3
 
 
+def test_quality_rules_hold_every_language_s_reference(spark):
+    def text(k, i, n):
+        return " ".join(f"{'abcdefghij'[j % 10]}{'klmnopqrst'[j // 10 % 10]}{'uvwxyz'[i % 6]}{k * '9'}" for j in range(n))
+
+    # 70 languages of small letters with two documents each, and one of many digits with a single document
+    rows = [(2 * k + i, text(0, i, 100), f"l{k}") for k in range(70) for i in (0, 1)] + [(999, text(9, 0, 100), "zz")]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[999].kept and got[999].char_distance < 1e-6 and all(r.kept for r in got.values())
+
+
 def test_quality_rules_allow_one_odd_word(spark):
     prose = "the boat is in the harbour and it waits for a wind that comes to it with the evening of the day " * 40
     words = prose.split()

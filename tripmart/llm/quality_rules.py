@@ -32,8 +32,6 @@ ODD_WORDS = 1
 #: Largest distances (0 to 1) at which a document is kept, for long texts; see ``allowed``.
 MAX_CHAR_DISTANCE = 0.16
 MAX_WORD_DISTANCE = 0.29
-#: The language references kept, most documents first.
-MAX_LANGUAGES = 64
 
 # Common words of four languages, in no special order of merit.
 COMMON_WORDS = {
@@ -141,8 +139,9 @@ def allowed(distance: float, odd: int, n: Column) -> Column:
 def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, base counts, base_failed, char_distance, word_distance, kept.
 
-    The histograms are computed once and written; the references (one row a
-    language, MAX_LANGUAGES at most) come from that narrow table. The columns
+    The histograms are computed once and written; the references, one for every
+    value of lang, come from that narrow table. They are joined to each document
+    as one broadcast list: about half a KB a language. The columns
     of docs named in ``carry`` go along, as the struct ``row``.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
@@ -154,15 +153,12 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
     table = table.withColumns({"pc": _shares("chars"), "pw": _shares("commons")})
     sizes = {"pc": len(CLASSES) + 3, "pw": len(WORDS) + 1}
     means = [F.array(*[F.avg(F.get(p, F.lit(i))) for i in range(n)]).alias(p) for p, n in sizes.items()]
-    refs = table.where(~F.col("base_failed")).groupBy("lang").agg(*means, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    # MAX_LANGUAGES rows at most: they become literals of the plan
-    refs = refs.collect()
+    refs = table.where(~F.col("base_failed")).groupBy("lang").agg(*means).agg(F.collect_list(F.struct(*sizes)).alias("refs"))
 
     def nearest(p: str) -> Column:
-        each = [_distance(F.col(p), F.array(*[F.lit(x) for x in r[p]])) for r in refs]
-        return F.least(*each) if len(each) > 1 else each[0] if each else F.lit(0.0)
+        return F.coalesce(F.array_min(F.transform("refs", lambda r: _distance(F.col(p), r[p]))), F.lit(0.0))
 
-    df = table
+    df = table.crossJoin(F.broadcast(refs))
     df = df.withColumns({
         "char_distance": F.when(F.col("word_chars") > 0, nearest("pc")).otherwise(0.0),
         "word_distance": F.when(F.col("n_words") > 0, nearest("pw")).otherwise(0.0),
