@@ -283,6 +283,31 @@ def test_pieces_without_dropout_are_the_library_s(docs):
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)
 
 
+def test_pieces_vary_with_each_occurrence(spark):
+    word = "international"
+    df = spark.createDataFrame([(i, f"{word} " * 500) for i in range(4)], "doc_id long, text string")
+    rows = encode_documents(df, PIECES).collect()
+    encoder, seen = PieceEncoder(PIECES), set()
+    for r in rows:
+        text = encoder.pieces
+        seen |= {tuple(w.split("\x00")) for w in "\x00".join(text[i] for i in r.ids).split("\x00▁")}
+        assert r.lossless
+    assert len(seen) > 20
+    # an occurrence that skips no merge shares the pieces of its word; all others are as if merged alone
+    keys = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    whole = [x.tolist() for x in np.split(*(lambda m: (m[0], np.cumsum(m[1])[:-1]))(encoder.merge([f" {word}"] * len(keys), keys)))]
+    encoder.encode([word], np.zeros(1, np.uint64))
+    skips = set(encoder._skips(np.zeros(len(keys), np.int64), keys).tolist())
+    plain = encoder.ids[encoder.starts[0]:encoder.starts[0] + encoder.sizes[0]].tolist()
+    assert 0 < len(skips) < len(keys) and all(whole[i] == plain for i in range(len(keys)) if i not in skips)
+
+
+def test_pieces_lossless_flag_tells_a_loss(spark):
+    encoder = PieceEncoder(PIECES, rate=0)
+    ids, sizes = encoder.encode(["two words", ""], np.zeros(2, np.uint64))
+    assert encoder.decode(ids, sizes) == ["two words", ""] and encoder.decode(ids[:-1], sizes - np.array([1, 0])) != ["two words", ""]
+
+
 def test_url_filter(spark):
     rows = [
         (1, "http://a.example.net/de/1", None, "net/", "block"), (2, "http://A.Example.NET/en/1?x#y", "", "example.net/en/", "allow"),

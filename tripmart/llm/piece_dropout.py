@@ -2,15 +2,16 @@
 
 Merge-type models join the best-scored pair of neighbouring pieces until none
 is left. With dropout, a candidate merge is skipped when a keyed hash of seed,
-word, variant and the candidate's place falls below the rate; a skipped
-candidate stays skipped. So the same seed gives the same pieces on any
+document, the word's place and the candidate's place in it falls below the
+rate; a skipped candidate stays skipped. Each occurrence of a word has skips of
+its own. So the same seed gives the same pieces on any
 cluster, other seeds give others, and each decodes to the same text.
 
 The agenda is processed for many words at a time: each round takes every
 word's best candidate that is left (highest score, leftmost), so every word
-sees the merges of its own agenda in order. Words never join across spaces,
-so a word's pieces depend only on the word, the seed and one of VARIANTS
-variants, chosen by a keyed hash of the document and the word's place.
+sees the merges of its own agenda in order. Words never join across spaces.
+A word's merges without dropout are kept, with their places: an occurrence
+that skips none of them has just these pieces, all others are merged anew.
 Characters outside the vocabulary become byte pieces, and so does SentencePiece's
 own mark for a space, so that it isn't decoded as one.
 
@@ -34,7 +35,6 @@ from tripmart.llm.packing import slices
 
 RATE = 0.1
 SEED = 1
-VARIANTS = 4
 SLICE_CHARS = 2 << 20
 HELD_WORDS = 400_000
 SLOT_BITS = 20
@@ -51,7 +51,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, seed: int = SEED, rate: float = RATE, variants: int = VARIANTS):
+    def __init__(self, path: str, seed: int = SEED, rate: float = RATE):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=path)
@@ -60,9 +60,12 @@ class PieceEncoder:
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.number = {self.pieces[i]: i for i in normal}
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.bytes)}
-        self.special = frozenset(i for i in range(n) if sp.is_control(i) or sp.is_unknown(i))
-        self.seed, self.rate, self.variants, self.n = seed, rate, variants if rate else 1, n
+        # the bytes that each piece stands for, one piece after another
+        byte_of = {i: bytes([b]) for b, i in enumerate(self.bytes)}
+        spelt = [byte_of[i] if i in byte_of else b"" if sp.is_control(i) or sp.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.spelt, self.spelt_sizes = np.frombuffer(b"".join(spelt), np.uint8), np.fromiter(map(len, spelt), np.int64, n)
+        self.spelt_starts = np.cumsum(self.spelt_sizes) - self.spelt_sizes
+        self.seed, self.rate, self.n = seed, rate, n
         # every way to make a piece of two pieces: (left, right) -> made; the last entry stands for no pair
         made = sorted((self.number[p[:k]] * n + self.number[p[k:]], i) for p, i in self.number.items() for k in range(1, len(p)) if p[:k] in self.number and p[k:] in self.number)
         self.pairs = np.array([x[0] for x in made] + [1 << 62], np.int64)
@@ -106,14 +109,18 @@ class PieceEncoder:
         return out
 
     def _forget(self) -> None:
-        """A word is a number; slot[number * variants + variant] tells where its pieces lie, -1 if not made yet."""
+        """A word is a number; it has its pieces and its merges (their places, mixed) without dropout."""
         self.held: dict[str, int] = {}
         self.words: list[str] = []
-        self.seeds, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.first, self.merges, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
-    def merge(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of the words under their keys, one word after another, and each word's number of pieces."""
+    def _limit(self) -> np.uint64:
+        return U(min(2**64 - 1, int(self.rate * 2**64)))
+
+    def merge(self, words: list[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of the words under their keys (None: without dropout), one word after another, and each word's number of
+        pieces; without dropout also the places of the merges, and each word's number of them."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         sym = self.letter[chars]
@@ -122,7 +129,15 @@ class PieceEncoder:
         sym[odd] = self.n + which
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         at = (np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)  # where a symbol starts in its word
-        none, limit = len(self.pairs) - 1, U(min(2**64 - 1, int(self.rate * 2**64)))
+        none, limit = len(self.pairs) - 1, self._limit()
+
+        def place(i: np.ndarray) -> np.ndarray:
+            """A candidate is known by where its two parts and its end lie in the word."""
+            after = np.minimum(i + 2, len(word) - 1)
+            inside = (i + 2 < len(word)) & (word[after] == word[i])
+            stop = np.where(inside, at[after], lengths[word[i]])
+            with np.errstate(over="ignore"):
+                return at[i].astype(np.uint64) * U(0x9E3779B97F4A7C15) + at[i + 1].astype(np.uint64) * U(0xC2B2AE3D27D4EB4F) + stop.astype(np.uint64) * U(0x165667B19E3779F9)
 
         def candidates(j: np.ndarray) -> np.ndarray:
             """The pair that the symbols at j make with the next one of their word; ``none`` if there is none or it is skipped."""
@@ -136,19 +151,14 @@ class PieceEncoder:
             k = self._pair(code)
             ok = k < none
             here, i, k = here[ok], i[ok], k[ok]
-            if self.rate and len(i):
-                # a candidate is known by where its two parts and its end lie in the word
-                after = np.minimum(i + 2, len(word) - 1)
-                inside = (i + 2 < len(word)) & (word[after] == word[i])
-                stop = np.where(inside, at[after], lengths[word[i]])
+            if keys is not None and len(i):
                 with np.errstate(over="ignore"):
-                    h = keys[word[i]] + at[i].astype(np.uint64) * U(0x9E3779B97F4A7C15) + at[i + 1].astype(np.uint64) * U(0xC2B2AE3D27D4EB4F) + stop.astype(np.uint64) * U(0x165667B19E3779F9)
-                stays = _mix(_mix(h)) >= limit
+                    stays = _mix(_mix(keys[word[i]] + place(i))) >= limit
                 here, k = here[stays], k[stays]
             out[here] = k
             return out
 
-        done_sym, done_word, done_at = [], [], []
+        done_sym, done_word, done_at, merged, merges = [], [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
         best = candidates(np.arange(len(sym)))
         while len(sym):
             # each word's best candidate, the leftmost of equals
@@ -157,6 +167,9 @@ class PieceEncoder:
             low = np.minimum.reduceat(self.rank[best] * n + np.arange(n), starts)
             active = low < self.n * n
             i = low[active] % n
+            if keys is None:
+                merged.append(place(i))
+                merges.append(word[i])
             sym[i] = self.made[best[i]]
             keep = np.repeat(active, np.diff(np.append(starts, n)))
             idle = ~keep
@@ -179,7 +192,18 @@ class PieceEncoder:
             out = np.repeat(sym, size)
             out[np.repeat(odd, size)] = np.fromiter(chain.from_iterable(spelled[s - self.n] for s in sym[odd].tolist()), np.int64)
             sym, word = out, np.repeat(word, size)
-        return sym.astype(np.int32), np.bincount(word, minlength=len(words))
+        merges = np.concatenate(merges)
+        merged = np.concatenate(merged)[np.argsort(merges, kind="stable")]
+        return sym.astype(np.int32), np.bincount(word, minlength=len(words)), merged, np.bincount(merges, minlength=len(words))
+
+    def _skips(self, flat: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The occurrences (word numbers and keys) that skip one or more of their word's merges."""
+        many = self.merges[flat]
+        ends = np.cumsum(many)
+        owner = np.repeat(np.arange(len(flat)), many)
+        with np.errstate(over="ignore"):
+            h = keys[owner] + self.places[np.repeat(self.first[flat] - ends + many, many) + np.arange(len(owner))]
+        return np.unique(owner[_mix(_mix(h)) < self._limit()])
 
     def encode(self, texts: list[str], doc_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, texts one after another, and the number of ids of each text."""
@@ -196,44 +220,42 @@ class PieceEncoder:
             self._forget()
             new = set().union(*words)
         order = list(new)
-        v = self.variants
-        self.held.update(zip(order, range(len(self.words), len(self.words) + len(order))))
-        self.words += order
-        self.seeds = np.concatenate([self.seeds, np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in order), np.uint64, len(order))])
-        self.slot = np.concatenate([self.slot, np.full(v * len(order), -1)])
-        flat = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, total)
-        with np.errstate(over="ignore"):
-            h = _mix(np.repeat(doc_keys.astype(np.uint64), counts) * U(0x9E3779B97F4A7C15) + place.astype(np.uint64) + U(self.seed) * U(0xC2B2AE3D27D4EB4F))
-        flat = flat * v + (h % U(v)).astype(np.int64)
-        # only the variants that are asked for are made
-        asked = np.unique(flat[self.slot[flat] < 0])
-        if len(asked):
-            which = asked // v
-            with np.errstate(over="ignore"):
-                keys = _mix(self.seeds[which] + (asked % v).astype(np.uint64) * U(0xD6E8FEB86659FD93))
-            ids, sizes = self.merge([self.words[i] for i in which.tolist()], keys)
-            self.slot[asked] = np.arange(len(self.sizes), len(self.sizes) + len(asked))
+        if order:
+            self.held.update(zip(order, range(len(self.words), len(self.words) + len(order))))
+            self.words += order
+            ids, sizes, places, merges = self.merge(order, None)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.first = np.concatenate([self.first, len(self.places) + np.cumsum(merges) - merges])
             self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
-        flat = self.slot[flat]
-        sizes = self.sizes[flat]
+            self.merges, self.places = np.concatenate([self.merges, merges]), np.concatenate([self.places, places])
+        flat = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, total)
+        starts, sizes, ids = self.starts[flat], self.sizes[flat], self.ids
+        if self.rate:
+            with np.errstate(over="ignore"):
+                keys = _mix(np.repeat(doc_keys.astype(np.uint64), counts) * U(0x9E3779B97F4A7C15) + place.astype(np.uint64) + U(self.seed) * U(0xC2B2AE3D27D4EB4F))
+            skips = self._skips(flat, keys)
+            if len(skips):
+                new_ids, new_sizes, _, _ = self.merge([self.words[i] for i in flat[skips].tolist()], keys[skips])
+                starts[skips], sizes[skips] = len(ids) + np.cumsum(new_sizes) - new_sizes, new_sizes
+                ids = np.concatenate([ids, new_ids])
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.starts[flat] - ends[:-1], sizes) + np.arange(ends[-1])]
+        ids = ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of the pieces; the space put before the first word is taken off."""
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i not in self.special:
-                out += self.pieces[i].replace(SPACE, " ").encode()
-        return out.decode("utf-8", "replace")[1:]
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The texts of the pieces, ``sizes`` of them each; the space put before the first word is taken off."""
+        n = self.spelt_sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        data = self.spelt[np.repeat(self.spelt_starts[ids] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        cuts = ends[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [data[i:j].decode("utf-8", "replace")[1:] for i, j in zip(cuts[:-1], cuts[1:])]
 
 
 def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, rate: float = RATE) -> DataFrame:
-    """doc_id, n_pieces, ids (array of int) per row of docs (doc_id, text)."""
+    """doc_id, n_pieces, ids (array of int), lossless per row of docs (doc_id, text).
+
+    ``lossless``: the ids, decoded, give the text again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(model_path, seed, rate)
@@ -242,13 +264,14 @@ def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, rate: f
             keys = batch.column("key").to_numpy().view(np.uint64)
             for i, j in slices(texts, SLICE_CHARS):
                 ids, sizes = encoder.encode(texts[i:j], keys[i:j])
+                same = [a == b for a, b in zip(encoder.decode(ids, sizes), texts[i:j])]
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                yield pa.record_batch([batch.column("doc_id").slice(i, j - i), pa.array(sizes.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(ids))], names=["doc_id", "n_pieces", "ids"])
+                yield pa.record_batch([batch.column("doc_id").slice(i, j - i), pa.array(sizes.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(same, pa.bool_())], names=["doc_id", "n_pieces", "ids", "lossless"])
 
     key = F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("key")
     rows = docs.select("doc_id", key, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids array<int>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids array<int>, lossless boolean")
 
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -257,7 +280,9 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(model_path)
         for batch in batches:
-            texts = [encoder.decode(x or []) for x in batch.column("ids").to_pylist()]
+            lists = batch.column("ids")
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            texts = encoder.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes)
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
