@@ -85,6 +85,24 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.merkle_manifest import check_manifest
+
+    return check_manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.embedding_whitening import whiten
+
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.slot_sharding import shard
+
+    return shard(read_table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -96,4 +114,7 @@ REGISTRY = {
     "op8_piece_dropout": op8_piece_dropout,
     "op9_url_filter": op9_url_filter,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_slot_sharding": op13_slot_sharding,
 }
