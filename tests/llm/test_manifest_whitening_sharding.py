@@ -210,7 +210,11 @@ def test_whitening_edge_rows(spark):
     assert whiten(make([(1, [1.0, 2.0]), (2, [1.0, 2.0])])).count() == 0
     assert whiten(make([])).count() == 0
     wide = whiten(make([(i, [1e16 * (i % 5), 1.0 * i]) for i in range(20)])).collect()  # (n x - S)^2 is beyond a long
-    assert {r.deviation for r in wide} == {None} and max(r.identity_error for r in wide) < 1e-4
+    x = {i: (64 * int(np.float32(1e16 * (i % 5))), 64 * i) for i in range(20)}
+    sums = [sum(v[j] for v in x.values()) for j in (0, 1)]
+    exact = {i: sum((20 * a - s) ** 2 for a, s in zip(v, sums)) for i, v in x.items()}
+    assert {r.vec_id: r.deviation for r in wide} == {i: v if v < 2**63 else None for i, v in exact.items()}
+    assert max(r.identity_error for r in wide) < 1e-4
 
 
 def test_packed_rows_round_trip():
