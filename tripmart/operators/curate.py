@@ -70,8 +70,8 @@ def metric_columns(use_cbd_fee: bool = False) -> dict[str, Column]:
     }
 
 
-def curate_trips(raw: DataFrame, use_cbd_fee: bool = False) -> DataFrame:
-    """Typed and enriched trips; all other raw columns are dropped.
+def curate_trips(raw: DataFrame, use_cbd_fee: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed and enriched trips; all other raw columns but those of ``keep`` are dropped.
 
     ``use_cbd_fee`` reads the source's congestion-zone fee instead of the
     constant 0.00 (default, as the source system writes it).
@@ -94,5 +94,6 @@ def curate_trips(raw: DataFrame, use_cbd_fee: bool = False) -> DataFrame:
         *[e.alias(n) for n, e in metrics.items()],
         *[e.alias(n) for n, e in parts.items()],
         F.current_timestamp().alias("processing_timestamp"),
+        *keep,
     )
-    return out.select(*CURATED_COLUMNS)
+    return out.select(*CURATED_COLUMNS, *keep)

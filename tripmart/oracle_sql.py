@@ -386,3 +386,10 @@ ORACLE.update({
     "pipeline_summary": sql_job_summary(),
     "curated_other_types": VALID_ROWS,
 })
+
+ORACLE.update({
+    "relanded_curate": VALID_ROWS,
+    "refresh_then_increment_borough": sql_daily_borough(),
+    "refresh_then_increment_zone": sql_daily_zone(),
+    "refresh_then_increment_service": sql_daily_service(),
+})

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import marts
@@ -19,10 +19,17 @@ from tripmart.operators.quality import all_rules, passes
 from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_PARTITIONS
 from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
-from tripmart.sinks.fs import children, remove
+from tripmart.sinks.fs import children, exists, remove
+from tripmart.sinks.publish import Publication, last_record
+from tripmart.sources.states import STATES, UNKNOWN, Day, days_of, recorded_states, states_frame
 from tripmart.sources.tables import month_target, only_month, scan_curated, scan_raw
 
 
+# Per-day partials kept beside the marts by increments (a leading "_" hides the directory
+# from readers of the marts' root).
+CUBE_DIR = "_daily_partials"
+
+
 class EmptyInputError(ValueError):
     pass
 
@@ -57,13 +64,15 @@ class StepReport:
         return 100.0 * self.output_rows.get(table, 0) / self.input_rows
 
 
-def curate_and_validate(raw: DataFrame, obs: Observation, use_cbd_fee: bool = False) -> DataFrame:
-    """Curated rows that pass every rule; input and valid counts go to ``obs``."""
-    curated = curate_trips(raw, use_cbd_fee)
+def curate_and_validate(raw: DataFrame, obs: Observation, use_cbd_fee: bool = False,
+                        keep: tuple[str, ...] = (), metrics: tuple[Column, ...] = ()) -> DataFrame:
+    """Curated rows that pass every rule; input and valid counts, and further ``metrics``, go to ``obs``."""
+    curated = curate_trips(raw, use_cbd_fee, keep)
     counted = curated.observe(
         obs,
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(passes()).alias("valid_rows"),
+        *metrics,
     )
     return counted.where(all_rules())
 
@@ -98,6 +107,7 @@ def build_aggregates(
     tables: tuple[str, ...] = tuple(marts.MARTS),
     curated: DataFrame | None = None,
     shared_scan: bool = True,
+    on_empty: str = "fail",
 ) -> StepReport:
     """Rebuild the marts from the curated table (or the given ``curated`` rows).
 
@@ -105,6 +115,9 @@ def build_aggregates(
     (partition pruning) and only its partitions are replaced; every other
     month of every mart is left as it is.
 
+    All marts are published at once: a job that fails leaves every one as it was. A month
+    without trips is an error, or with ``on_empty="drop"`` leaves the marts.
+
     With ``shared_scan`` and more than one mart, the curated rows are read
     once: their partials at the finest common grain are written to the
     shared checkpoint folder (which also cuts the lineage, so a lost
@@ -113,11 +126,16 @@ def build_aggregates(
     """
     prepare(spark)
     target = month_target(year, month)
-    curated = scan_curated(spark, curated_root) if curated is None else curated
+    from_path = curated is None
+    if from_path:
+        guard_marts(spark, out_root, curated_root)
+    curated = scan_curated(spark, curated_root) if from_path else curated
     if target is not None:
         curated = only_month(curated, *target)
     if curated.isEmpty():
-        raise EmptyInputError(f"no curated trips under {curated_root} for {target or 'all months'}")
+        if target is None or on_empty == "fail":
+            raise EmptyInputError(f"no curated trips under {curated_root} for {target or 'all months'}")
+        return _drop_month(spark, out_root, tables, target)
     zone_rows = check_zones(zones)
     mode = "overwrite" if target is None else "dynamic"
     obs = Observation("marts_input")
@@ -135,34 +153,72 @@ def build_aggregates(
             for i, name in enumerate(tables)
         }
     try:
-        for i, name in enumerate(tables):
-            out_obs = Observation(name)
-            table = built[name].observe(out_obs, F.count(F.lit(1)).alias("rows"))
-            write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode=mode)
-            report.output_rows[name] = out_obs.get["rows"]
-            if cube_path is None and i == 0:
-                report.input_rows = obs.get["rows"]
-        if target is not None:
-            # days of the month that lost all their trips since the last refresh
-            days = {str(r["day"]) for r in curated.select(F.col("day").cast("int").alias("day")).distinct().collect()}
-            for name in tables:
-                if "day" in marts.MART_PARTITIONS[name]:
-                    _drop_days(spark, f"{out_root}/{name}", target, days)
+        with Publication(spark, out_root) as pub:
+            pub.info["curated_root"] = curated_root
+            for i, name in enumerate(tables):
+                out_obs = Observation(name)
+                table = built[name].observe(out_obs, F.count(F.lit(1)).alias("rows"))
+                pub.write(table, name, marts.MART_PARTITIONS[name], mode=mode)
+                report.output_rows[name] = out_obs.get["rows"]
+                if cube_path is None and i == 0:
+                    report.input_rows = obs.get["rows"]
+                if target is not None:  # days of the month that lost all their trips since the last refresh
+                    pub.drop(name, _month_partitions(spark, f"{out_root}/{name}", target))
+            days = _days_made(pub, curated, tables)
+            _publish_states(pub, out_root, days, target, keep=from_path)
+            pub.commit()
     finally:
         if cube_path is not None:
             remove(spark, cube_path)
     return report
 
 
-def _drop_days(spark: SparkSession, mart_root: str, target: tuple, days: set[str]) -> None:
-    """Remove the day partitions of the target month that are not among ``days``."""
-    wanted = [int(x) for x in target]
+def guard_marts(spark: SparkSession, out_root: str, curated_root: str) -> None:
+    """Refuse marts whose partials come from another curated table."""
+    made = last_record(spark, out_root)
+    owner = made and made.get("curated_root")
+    if owner and owner.rstrip("/") != curated_root.rstrip("/") and exists(spark, f"{out_root}/{CUBE_DIR}"):
+        raise TableOwnedError(f"{out_root} is kept from {owner}; use another output folder")
+
+
+def _days_made(pub: Publication, curated: DataFrame, tables: tuple[str, ...]) -> set[Day]:
+    by_day = [n for n in tables if marts.MART_PARTITIONS[n] == CURATED_PARTITIONS]
+    if by_day:
+        return days_of(pub.partitions(by_day[0]))
+    return {tuple(int(x) for x in r) for r in curated.select(*CURATED_PARTITIONS).distinct().collect()}
+
+
+def _publish_states(pub: Publication, out_root: str, days: set[Day], target: tuple | None, keep: bool) -> None:
+    """States after marts were made without partials.
+
+    Days that had a state keep it if the rows came from the curated table: partials made from that state are as
+    good as before, and a state that differs from the table's is stale anyway. All other
+    days made here, and every day of replaced rows from elsewhere, count as unknown.
+    """
+    known = recorded_states(pub.spark, out_root)
+    hit = {d for d in known if target is None or d[:2] == tuple(target)}
+    states = {**dict.fromkeys(days, UNKNOWN), **{d: s if keep or d not in hit else UNKNOWN for d, s in known.items()}}
+    pub.write(states_frame(pub.spark, states), STATES)
+
+
+def _month_partitions(spark: SparkSession, mart_root: str, target: tuple) -> list[str]:
+    """Partition folders of the target month under a mart, zero-padded or not."""
+    found = []
     for y in children(spark, mart_root):
-        for m in children(spark, f"{mart_root}/{y}") if y == f"year={wanted[0]}" else []:
-            if m.startswith("month=") and int(m[6:]) == wanted[1]:
-                for d in children(spark, f"{mart_root}/{y}/{m}"):
-                    if d.startswith("day=") and str(int(d[4:])) not in days:
-                        remove(spark, f"{mart_root}/{y}/{m}/{d}")
+        for m in children(spark, f"{mart_root}/{y}") if y == f"year={int(target[0])}" else []:
+            if m.startswith("month=") and int(m[6:]) == int(target[1]):
+                days = [d for d in children(spark, f"{mart_root}/{y}/{m}") if d.startswith("day=")]
+                found += [f"{y}/{m}/{d}" for d in days] or [f"{y}/{m}"]
+    return found
+
+
+def _drop_month(spark: SparkSession, out_root: str, tables: tuple[str, ...], target: tuple) -> StepReport:
+    """Take a month that lost all its trips out of the marts."""
+    with Publication(spark, out_root) as pub:
+        for name in tables:
+            pub.drop(name, _month_partitions(spark, f"{out_root}/{name}", target))
+        pub.commit()
+    return StepReport(0, dict.fromkeys(tables, 0))
 
 
 def run_all(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +29,59 @@ def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or directory; the target's parent is made, the target must not exist."""
+    fs, s = _fs_path(spark, source)
+    t = _fs_path(spark, target)[1]
+    fs.mkdirs(t.getParent())
+    if not fs.rename(s, t):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if there is one already."""
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_path(spark, path)
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)
+    finally:
+        stream.close()
+    return bytes(data).decode()
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Paths, relative to ``path``, of all data files below it (names that don't start with ``_`` or ``.``)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    root = fs.getFileStatus(p).getPath().toUri().getPath().rstrip("/") + "/"
+    out, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        name = found.next().getPath().toUri().getPath().removeprefix(root)
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            out.append(name)
+    return out

@@ -1,55 +1,79 @@
-"""Incremental runs on Structured Streaming.
-
-A file stream with a checkpoint remembers which input files were
-processed; ``trigger(availableNow=True)`` processes everything new and
-stops, so a scheduled run picks up only new files and a run with nothing
-new writes nothing.
-
-Exactly-once output:
-
-* curated: each micro-batch is written under ``batch_id=N/`` with dynamic
-  partition overwrite.  A batch replayed after a failure rewrites exactly
-  its own partitions, so it never duplicates rows.
-* marts (``on_touch="recompute"``, default): the batch only names the
-  days it touched.  Per-day partials of those days are recomputed from the
-  current curated table and replace those days of a partials table kept
-  beside the marts; every mart partition holding a touched day (the day
-  for the zone mart, its month for the others) is rolled up again from the
-  partials and replaced.  A batch reads only its own days of trips, the
-  grain stays one row per key however the trips of a day were split into
-  batches, late trips included, and a replay gives the same result.
-  ``on_touch="append"`` appends the batch's own aggregates instead.
+"""Incremental runs: new and changed raw files -> curated -> marts.
+
+* Curated: a file stream with a checkpoint takes the files not seen before
+  (``availableNow``: everything new, then it stops).  A ledger beside
+  the table knows which file, in which state, is in which batch.  Files that are
+  gone or were replaced, as when a month is landed again, are taken back:
+  only the days that hold their rows are written again.  Each micro-batch,
+  its ledger entries included, is published at once and once; a
+  batch repeated after a failure is passed over.
+* Marts (``on_touch="recompute"``, default): every day of the curated
+  table has a state, read from a listing, and the marts' root keeps the states that its
+  partials were made from.  Days that differ, be they new, late,
+  taken back or changed under a month's refresh, get new partials; each mart
+  partition that holds one is rolled up again from partials that are all up to date.
+  Partials, marts and states are published at once.  So a run reads only
+  the days that changed, the grain stays one row per key, and full, monthly and
+  incremental runs may be mixed on one root.
+* Marts (``on_touch="append"``): each batch's own aggregates are added, once; ``read_appended``
+  merges them to one row a grain.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripmart.operators import marts
 from tripmart.operators.enrich import check_zones
-from tripmart.plans.jobs import curate_and_validate, guard_layout
+from tripmart.plans.jobs import CUBE_DIR, TableOwnedError, curate_and_validate, guard_layout, guard_marts
 from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_ANY_LAYOUT, CURATED_PARTITIONS
-from tripmart.session import prepare
+from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
-from tripmart.sinks.fs import has_files
+from tripmart.sinks.fs import children, exists, has_files
+from tripmart.sinks.publish import Publication, is_published, recover
+from tripmart.sources.ledger import (
+    FILE,
+    FILE_TYPES,
+    LEDGER,
+    METADATA,
+    files_not_taken,
+    gone_files,
+    has_tombstones,
+    ledger_path,
+    listed_files,
+    live_files,
+    next_generation,
+)
+from tripmart.sources.states import STATES, day_states, days_of, folder, recorded_states, states_frame
 from tripmart.sources.tables import landed_schema, scan_curated
 
 # Files per micro-batch: a backfill of a large landing zone runs as a series
 # of bounded batches (each replayable on its own), not as one huge batch.
 MAX_FILES_PER_TRIGGER = 10_000
-# Per-day partials kept beside the marts (a leading "_" hides the directory
-# from readers of the marts' root).
-CUBE_DIR = "_daily_partials"
+# Days made again in one publication.
+MAX_DAYS = 1_000
+# Partials of appended batches, merged on read.
+APPENDED_DIR = "_appended_partials"
 CURATED_STREAM = CURATED_ANY_LAYOUT
+# The raw file of each curated row, kept in incremental tables so that its rows can be taken back.
+SOURCE = "_source"
+SOURCE_METADATA = {SOURCE if c == "path" else f"_source_{c}": m for c, m in METADATA.items()}
 
 
 class CheckpointMismatch(RuntimeError):
     pass
 
 
+class RetractedInputError(RuntimeError):
+    pass
+
+
 def guard_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Refuse a fresh checkpoint on an output that already holds data.
 
@@ -83,27 +107,122 @@ def refresh_curated(
     use_cbd_fee: bool = False,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> list[dict]:
-    """Curate the raw files not seen before; returns per-batch counts."""
+    """Bring the curated table up to date with the landing; returns per-batch counts.
+
+    Rows of raw files that are gone or were replaced are taken back, new
+    files are curated in bounded batches, and files that the stream
+    passes over (a known name with other contents) are curated as a correction.
+    """
     prepare(spark)
     guard_layout(spark, out, incremental=True)
     guard_checkpoint(spark, out, checkpoint)
+    recover(spark, out)
+    guard_ledger(spark, out)
+    listed = _kept(listed_files(spark, raw_root), "landing-listed")
+    take_back(spark, listed, out)
     schema = landed_schema(spark, raw_root, (CBD_FEE,) if use_cbd_fee else ())
     reports: list[dict] = []
     stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("ignoreMissingFiles", True)  # a file taken away between plan and read: the ledger knows
         .parquet(raw_root)
+        .select("*", *[F.expr(m).alias(c) for c, m in SOURCE_METADATA.items()])
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        reports.append(write_curated_batch(df, batch_id, out, use_cbd_fee))
+        key = f"curate-{batch_id}"
+        if not is_published(spark, out, key):  # else the batch was done before a failure
+            reports.append(_publish_curated(df, batch_id, out, use_cbd_fee, key))
 
     _run(stream, batch, checkpoint)
+    rest = _kept(files_not_taken(live_files(spark, out), listed), "landing-rest").collect()
+    for i in range(0, len(rest), max_files_per_trigger):
+        reports.append(_take_in(spark, raw_root, schema, rest[i:i + max_files_per_trigger], out, use_cbd_fee))
     return reports
 
 
+def guard_ledger(spark: SparkSession, out: str) -> None:
+    """Refuse batches written without a ledger: what they hold can't be told."""
+    if any(n.startswith(f"{BATCH_COLUMN}=") for n in children(spark, out)) and not exists(spark, ledger_path(out)):
+        raise TableOwnedError(f"{out} holds batches without a ledger of their files; rebuild it into another folder")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written once, so that later steps see the same rows."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _publish_curated(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bool, key: str | None = None,
+                     listed: DataFrame | None = None) -> dict:
+    """Curate rows of known files into ``out/batch_id=N/``, together with the ledger's entries for the files.
+
+    The files are named by the rows themselves (at most a batch's bound of them), or by ``listed``.
+    """
+    spark = raw.sparkSession
+    obs = Observation(f"curate_batch_{batch_id}")
+    found = F.collect_set(F.struct(*SOURCE_METADATA)).alias("files")
+    valid = curate_and_validate(raw, obs, use_cbd_fee, keep=tuple(SOURCE_METADATA), metrics=() if listed is not None else (found,))
+    with Publication(spark, out, key) as pub:
+        tagged = valid.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")).drop(*list(SOURCE_METADATA)[1:])
+        pub.write(tagged, "", [BATCH_COLUMN, *CURATED_PARTITIONS], mode="dynamic")
+        counts = obs.get
+        if listed is None:
+            rows = [tuple(f) for f in counts.pop("files")]
+            listed = spark.createDataFrame(rows, FILE_TYPES)
+        _publish_entries(pub, listed.withColumns({BATCH_COLUMN: F.lit(batch_id).cast("long"), "live": F.lit(True)}), out)
+        pub.commit()
+    return {"batch_id": batch_id, **counts}
+
+
+def _publish_entries(pub: Publication, entries: DataFrame, out: str) -> None:
+    generation = next_generation(pub.spark, out)
+    pub.write(entries.select(*FILE, BATCH_COLUMN, "live", F.lit(generation).alias("generation")), LEDGER, ["generation"], mode="dynamic")
+
+
+def _take_in(spark: SparkSession, raw_root: str, schema, files: list, out: str, use_cbd_fee: bool) -> dict:
+    """Curate given files as a correction: a batch with a negative number, which no stream uses."""
+    paths = [unquote(f.path) for f in files]
+    raw = spark.read.schema(schema).option("basePath", raw_root).parquet(*paths)
+    raw = raw.select("*", *[F.expr(m).alias(c) for c, m in SOURCE_METADATA.items()])
+    listed = spark.createDataFrame([tuple(f) for f in files], FILE_TYPES)
+    return _publish_curated(raw, -next_generation(spark, out), out, use_cbd_fee, listed=listed)
+
+
+def take_back(spark: SparkSession, listed: DataFrame, out: str) -> int:
+    """Remove the rows of raw files that are gone or no longer the same; returns how many files.
+
+    Only the day partitions that hold such rows are written again, without them. They, the days
+    that lose all rows and the ledger's tombstones are published at once, so a
+    cut short run leaves the table as it was, and the next one takes them back.
+    """
+    gone = _kept(gone_files(live_files(spark, out), listed), "landing-gone")
+    if gone.isEmpty():
+        return 0
+    rows = spark.read.schema(StructType([*CURATED_STREAM.fields, StructField(SOURCE, StringType())])).parquet(out)
+    key = [SOURCE, BATCH_COLUMN]
+    dead = gone.select(F.col("path").alias(SOURCE), BATCH_COLUMN)
+    batches = [r[0] for r in gone.select(BATCH_COLUMN).distinct().collect()]
+    # of the batches' rows only the file names are read here
+    hit = rows.where(F.col(BATCH_COLUMN).isin(batches)).join(dead, key, "left_semi").select(BATCH_COLUMN, *CURATED_PARTITIONS).distinct()
+    days = {tuple(r) for r in hit.collect()}  # batches and days of the calendar
+    parts = [BATCH_COLUMN, *CURATED_PARTITIONS]
+    within = rows.where(F.col(BATCH_COLUMN).isin(batches) & partitions_in(CURATED_PARTITIONS, {d[1:] for d in days}))
+    hits = spark.createDataFrame(sorted(days), "batch_id long, year int, month int, day int")
+    kept = within.join(F.broadcast(hits), parts, "left_semi").join(dead, key, "left_anti")
+    with Publication(spark, out) as pub:
+        if days:
+            pub.write(kept, "", parts, mode="dynamic")
+            pub.drop("", [folder(d, parts) for d in days])
+        _publish_entries(pub, gone.withColumn("live", F.lit(False)), out)
+        pub.commit()
+    return gone.count()
+
+
 def write_curated_batch(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bool = False) -> dict:
-    """Curate one micro-batch into ``out/batch_id=N/``; replaying N replaces it."""
+    """Curate rows into ``out/batch_id=N/``; replaying N replaces the days it holds."""
     obs = Observation(f"curate_batch_{batch_id}")
     valid = curate_and_validate(raw, obs, use_cbd_fee)
     tagged = valid.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
@@ -143,57 +262,102 @@ def refresh_aggregates(
     on_touch: str = "recompute",
     tables: tuple[str, ...] = tuple(marts.MARTS),
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    max_days: int = MAX_DAYS,
 ) -> list[int]:
-    """Bring the marts up to date with curated files not seen before."""
+    """Bring the marts up to date with the curated table; returns the publications or batches made.
+
+    ``recompute``: the days whose state differs from the one their partials were made from.
+    ``append``: the curated files that the stream has not seen before.
+    """
     if on_touch not in ("recompute", "append"):
         raise ValueError(f"on_touch must be 'recompute' or 'append', got {on_touch!r}")
     prepare(spark)
-    guard_checkpoint(spark, out_root, checkpoint)
     zone_rows = check_zones(zones)
-    batches: list[int] = []
-    stream = (
-        spark.readStream.schema(CURATED_STREAM)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(curated_root)
-    )
-
-    cube_root = f"{out_root}/{CUBE_DIR}"
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        new = df.drop(BATCH_COLUMN)
-        if on_touch == "append":
-            for name in tables:
-                table = marts.MARTS[name](new, zones, zone_rows)
-                write_table(table, f"{out_root}/{name}", marts.MART_PARTITIONS[name], mode="append")
-            batches.append(batch_id)
-            return
-        # The days this batch touched, read from the batch once: a key set
-        # bounded by the calendar, turned into a literal partition filter so
-        # the scans below list and open only those partitions.
-        days = [tuple(r) for r in new.select(*CURATED_PARTITIONS).distinct().collect()]
-        if not days:
-            batches.append(batch_id)
-            return
-        # 1. Partials of the touched days, recomputed from all curated trips
-        #    of those days (late trips included), replace those days.
+    if on_touch == "append":
+        guard_checkpoint(spark, out_root, checkpoint)
+        return _append_batches(spark, curated_root, zones, zone_rows, out_root, checkpoint, tables, max_files_per_trigger)
+    guard_marts(spark, out_root, curated_root)
+    recover(spark, out_root)
+    # listed before anything is read: a day that changes meanwhile stays stale for the next run
+    current, known = day_states(spark, curated_root), recorded_states(spark, out_root)
+    stale = sorted(d for d in current.keys() | known.keys() if d not in current or known.get(d) != current[d])
+    return [
+        _recompute_days(spark, curated_root, zones, zone_rows, out_root, tables, stale[i:i + max_days], current)
+        for i in range(0, len(stale), max_days)
+    ]
+
+
+def _recompute_days(spark: SparkSession, curated_root: str, zones: DataFrame, zone_rows: int, out_root: str,
+                    tables: tuple[str, ...], days: list[tuple], current: dict) -> int:
+    """Partials of the days made again, every mart partition that holds one rolled up, all published at once."""
+    with Publication(spark, out_root, write=write_table) as pub:
+        pub.info["curated_root"] = curated_root
+        # 1. Partials of the stale days from all their curated trips.
         trips = scan_curated(spark, curated_root).where(partitions_in(CURATED_PARTITIONS, days))
         cube = marts.with_date_parts(marts.partials(trips, marts.CUBE_KEYS), CURATED_PARTITIONS)
-        write_table(cube, cube_root, CURATED_PARTITIONS, mode="dynamic")
-        # 2. Each mart partition that holds a touched day is rolled up again
-        #    from the (much smaller) partials: days for the zone mart, whole
-        #    months for the y/m-partitioned marts.
-        parts = spark.read.schema(cube.schema).parquet(cube_root)
+        pub.write(cube, CUBE_DIR, CURATED_PARTITIONS, mode="dynamic")
+        made = days_of(pub.partitions(CUBE_DIR))
+        pub.drop(CUBE_DIR, [folder(d) for d in days if d not in made])
+        fresh = spark.read.schema(cube.schema).parquet(pub.path(CUBE_DIR))
+        # 2. The marts' partitions from them and from the other days' partials, which are as the curated table is.
+        parts = fresh
+        if exists(spark, f"{out_root}/{CUBE_DIR}"):
+            others = spark.read.schema(cube.schema).parquet(f"{out_root}/{CUBE_DIR}").where(~partitions_in(CURATED_PARTITIONS, days))
+            parts = fresh.unionByName(others)
         for name in tables:
             grain = marts.MART_PARTITIONS[name]
-            source = parts.where(partitions_in(grain, {d[: len(grain)] for d in days}))
-            table = marts.marts_from_cube(source, zones, zone_rows)[name]
-            write_table(table, f"{out_root}/{name}", grain, mode="dynamic")
+            touched = {d[: len(grain)] for d in days}
+            table = marts.marts_from_cube(parts.where(partitions_in(grain, touched)), zones, zone_rows)[name]
+            pub.write(table, name, grain, mode="dynamic")
+            pub.drop(name, [folder(t, grain) for t in touched])
+        # 3. What they were made from.
+        known = {d: s for d, s in recorded_states(spark, out_root).items() if d not in set(days)}
+        pub.write(states_frame(spark, known | {d: current[d] for d in days if d in current}), STATES)
+        return pub.commit()
+
+
+def _append_batches(spark: SparkSession, curated_root: str, zones: DataFrame, zone_rows: int, out_root: str,
+                    checkpoint: str, tables: tuple[str, ...], max_files: int) -> list[int]:
+    """Each batch's own aggregates and partials added once: a batch that is published is passed over."""
+    if has_tombstones(spark, curated_root):
+        raise RetractedInputError(f"rows were taken back from {curated_root}; appended marts can't follow, use on_touch='recompute'")
+    batches: list[int] = []
+    stream = spark.readStream.schema(CURATED_STREAM).option("maxFilesPerTrigger", max_files).parquet(curated_root)
+    owner = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def batch(df: DataFrame, batch_id: int) -> None:
         batches.append(batch_id)
+        append_batch(df.drop(BATCH_COLUMN), f"append-{owner}-{batch_id}", zones, zone_rows, out_root, tables)
 
     _run(stream, batch, checkpoint)
     return batches
 
 
+def append_batch(trips: DataFrame, key: str, zones: DataFrame, zone_rows: int | None, out_root: str,
+                 tables: tuple[str, ...] = tuple(marts.MARTS)) -> bool:
+    """Add one batch's aggregates to the marts unless ``key`` is published already; says whether it was added."""
+    spark = trips.sparkSession
+    recover(spark, out_root)
+    if is_published(spark, out_root, key):
+        return False
+    with Publication(spark, out_root, key) as pub:
+        cube = marts.with_date_parts(marts.partials(trips, marts.CUBE_KEYS), CURATED_PARTITIONS)
+        pub.write(cube, APPENDED_DIR, CURATED_PARTITIONS, mode="append")
+        parts = spark.read.schema(cube.schema).parquet(pub.path(APPENDED_DIR))
+        for name, table in marts.marts_from_cube(parts, zones, zone_rows).items():
+            if name in tables:
+                pub.write(table, name, marts.MART_PARTITIONS[name], mode="append")
+        pub.commit()
+    return True
+
+
+def read_appended(spark: SparkSession, out_root: str, zones: DataFrame) -> dict[str, DataFrame]:
+    """The marts of an appended root with one row a grain: the batches' partials merged, means included."""
+    example = marts.with_date_parts(marts.partials(spark.createDataFrame([], CURATED_ANY_LAYOUT), marts.CUBE_KEYS), CURATED_PARTITIONS)
+    parts = spark.read.schema(example.schema).parquet(f"{out_root}/{APPENDED_DIR}")
+    return marts.marts_from_cube(parts, zones, check_zones(zones))
+
+
 def refresh_all(
     spark: SparkSession,
     raw_root: str,
