@@ -109,10 +109,13 @@ def descend(tops: DataFrame, records: list[DataFrame], asked: DataFrame) -> Data
     own = [c for c in asked.columns if c not in ("tree", "rank")]
     carried = [c for c in tops.columns if c not in ("tree", "digest", "height", "path")]
     digit = F.pmod("rank", F.lit(FAN)).cast("int").alias("digit")
-    wanted = [asked.groupBy("tree", F.floor(F.col("rank") / FAN).alias("prefix")).agg(F.collect_list(F.struct(digit, "rank", *own)).alias("asked"))]
+    # each height's requests are written: they are read for its own step and for the height above
+    runs = asked.groupBy("tree", F.floor(F.col("rank") / FAN).alias("prefix")).agg(F.collect_list(F.struct(digit, "rank", *own)).alias("asked"))
+    wanted = [stored(runs, "merkle_asked")]
     for _ in records[1:]:
         part = F.pmod("prefix", F.lit(FAN)).cast("int")
-        wanted.append(wanted[-1].groupBy("tree", F.floor(F.col("prefix") / FAN).alias("prefix")).agg(F.collect_set(part).alias("asked")))
+        above = wanted[-1].groupBy("tree", F.floor(F.col("prefix") / FAN).alias("prefix")).agg(F.collect_set(part).alias("asked"))
+        wanted.append(stored(above, "merkle_asked"))
     ends = [tops.where("height = 0").join(asked, "tree").select("tree", "rank", *own, *carried, "digest", "path")]
     frontier = None
     for height in range(len(records), 0, -1):
@@ -132,17 +135,17 @@ def descend(tops: DataFrame, records: list[DataFrame], asked: DataFrame) -> Data
 
 
 def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
-    """requests (tree, rank and more; every leaf by default) with subroot, root, digest (the leaf's) and proof.
+    """requests (tree, rank and more; every leaf by default) with tree, rank, subroot, root, digest (the leaf's) and proof.
 
     proof: an array of (left, right), the siblings' digests joined, from the leaf's run up to the root's.
     """
-    requests = manifest.leaves.drop("n") if requests is None else requests
+    requests = manifest.leaves.drop("n", "lang", "leaf") if requests is None else requests
     no_path = F.array().cast("array<struct<left:string,right:string>>")
     root = manifest.root.select("tree", "digest", "height", no_path.alias("path"), F.col("digest").alias("root"))
     trees = manifest.trees.select(F.col("one").alias("tree"), "rank", F.col("tree").alias("of"), F.col("height").alias("of_height"))
     tops = descend(root, manifest.top_records, trees)
     tops = tops.select(F.col("of").alias("tree"), "digest", F.col("of_height").alias("height"), "path", F.col("digest").alias("subroot"), "root")
-    return descend(tops, manifest.records, requests).withColumn("proof", F.reverse("path")).drop("path")
+    return descend(stored(tops, "merkle_subroots"), manifest.records, requests).withColumn("proof", F.reverse("path")).drop("path")
 
 
 def fold(leaf: Column, proof: Column) -> Column:
@@ -163,7 +166,7 @@ def check_manifest(docs: DataFrame) -> DataFrame:
     """Every row's leaf, subroot, root and proof, and whether its text still leads to the root after tampering."""
     altered = F.when(is_tampered(F.col("doc_id")), leaf_of(text=lower_ascii(F.col("text"))))
     proved = prove(build_manifest(docs.select(*FIELDS), altered=altered))
-    folded = proved.withColumn("folded_root", fold(F.coalesce("altered", "leaf"), F.col("proof")))
+    folded = proved.withColumn("folded_root", fold(F.coalesce("altered", "digest"), F.col("proof")))
     return folded.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
