@@ -11,13 +11,16 @@ whole.
 
 Defined results: null, empty and text-free pages give an empty text; a page
 without any container of score falls back to what the body holds; cut-off
-markup ends where the page ends; repeated rows are handled one by one.
+markup ends where the page ends, a tag with an open quote at its first ``>``; of containers with equal
+scores the first is best; very long and deeply nested pages are read whole, in time linear in their
+length; repeated rows are handled one by one; an empty table gives no rows; columns other than page_id, url and html are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,31 +41,41 @@ ROLES_CUT = frozenset("navigation banner contentinfo complementary search dialog
 CUT_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|comments?|commentlist|comment\w*|disqus|respond|replies|reply|sidebars?|side-?bar|footers?|menus?|nav|navbar|navigation|navi"
     r"|breadcrumbs?|crumbs?|cookies?|cookie\w*|consent|gdpr|notices?|alerts?|popups?|modal\w*|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|outbrain"
-    r"|taboola|widgets?|toolbar|pager|pagination|tags?|tagcloud|masthead|skip\w*|hidden|print|shoutbox|trending|popular|teaser\w*|paywall|disclaimer|copyright|site-?header|page-?header|topbar|toplinks?|legal)(?:$|[\s_-])",
+    r"|taboola|widgets?|toolbar|pager|pagination|tags?|tagcloud|masthead|skip\w*|hidden|shoutbox|trending|popular|teaser\w*|paywall|disclaimer|copyright|site-?header|page-?header|topbar|toplinks?|legal)(?:$|[\s_-])",
     re.I)
 COMMENT_WORDS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-\w+|repl(?:y|ies)|advert\w*|ads?|sponsor\w*|related|teaser\w*|promo\w*)(?:$|[\s_-])", re.I)
 GOOD_WORDS = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|page|post|story|text|blog)(?:$|[\s_-])", re.I)
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+HIDES = re.compile(r"hidden|style", re.I)
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "cut", "words", "score", "chars", "links", "prose")
+    __slots__ = ("tag", "parent", "items", "cut", "words", "score", "own", "below", "deeper", "chars", "links", "prose")
 
     def __init__(self, tag: str, parent: "Node | None", cut: bool, words: str):
         self.tag, self.parent, self.cut, self.words = tag, parent, cut, words
         self.items: list = []  # text pieces (str, is in a link) and child nodes, in page order
-        self.score = 0.0
+        self.score = self.own = self.below = self.deeper = 0.0
         self.chars = self.links = self.prose = 0
 
 
+def _attributes(token: str, tag: str) -> dict[str, str]:
+    return {a.lower(): x or y or z or "" for a, x, y, z in ATTR.findall(token, len(tag) + 1)} if len(token) > len(tag) + 2 else {}
+
+
+def _hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(HIDING.search(attrs.get("style", "")))
+
+
 def _cut(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
     if tag in CUT or (tag == "header" and not inside_article):
         return True
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
+    if _hidden(attrs):
         return True
     if attrs.get("role", "").lower() in ROLES_CUT:
         return True
@@ -79,17 +92,22 @@ def parse(html: str) -> Node:
     root = Node("html", None, False, "")
     at, link, articles = root, 0, 0
     pos, n = 0, len(html)
+    open_tags = Counter()
+    muted: list[tuple[str, Node]] = []  # hidden inline elements, and those of the same name within, with their blocks
 
     def close(node: Node) -> Node:
         nonlocal articles
         if node.tag in ("article", "main"):
             articles -= 1
+        open_tags[node.tag] -= 1
+        while muted and muted[-1][1] is node:
+            muted.pop()
         return node.parent
 
     while pos < n:
         m = TOKEN.search(html, pos)
         stop = m.start() if m else n
-        if stop > pos and not at.cut:
+        if stop > pos and not at.cut and not muted:
             at.items.append((html[pos:stop], link > 0))
         if not m:
             break
@@ -103,11 +121,13 @@ def parse(html: str) -> Node:
             if tag == "a":
                 link = max(0, link - 1)
             if tag in INLINE:
+                if muted and muted[-1] == (tag, at):
+                    muted.pop()
                 continue
-            if tag == "br" or tag == "p" and not _open(at, "p"):
+            if tag == "br" or tag == "p" and not open_tags["p"]:
                 at.items.append((" ", False))
                 continue
-            if _open(at, tag):
+            if open_tags[tag]:
                 link = 0
                 while at.tag != tag:
                     at = close(at)
@@ -115,8 +135,11 @@ def parse(html: str) -> Node:
             continue
         if not token.endswith(">"):
             break  # cut off within a tag
-        if tag == "a":
-            link = 1
+        if tag in INLINE and tag not in VOID:
+            # few inline elements have an attribute that hides them; those within a hidden one are counted
+            if muted and muted[-1] == (tag, at) or HIDES.search(token) and _hidden(_attributes(token, tag)):
+                muted.append((tag, at))
+            link = 1 if tag == "a" else link
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, pos)
@@ -127,23 +150,24 @@ def parse(html: str) -> Node:
             continue
         if tag in INLINE or tag in ("html", "body") or tag in VOID and tag not in CUT:
             continue
-        if tag in CLOSES_P and (p := _open(at, "p", SCOPES)):
+        if tag in CLOSES_P and open_tags["p"] and (p := _open(at, "p", SCOPES)):
             while at is not p:
                 at = close(at)
             at = close(at)
         if tag in CLOSES_SAME:
-            same = next((t for t in CLOSES_SAME[tag] if _open(at, t, SCOPES - CLOSES_SAME[tag])), None)
+            same = next((t for t in CLOSES_SAME[tag] if open_tags[t] and _open(at, t, SCOPES - CLOSES_SAME[tag])), None)
             if same and tag != "p":
                 while at.tag not in CLOSES_SAME[tag]:
                     at = close(at)
                 at = close(at)
         if tag in VOID:
             continue
-        attrs = {a.lower(): x or y or z or "" for a, x, y, z in ATTR.findall(token, len(tag) + 1)} if len(token) > len(tag) + 2 else {}
-        node = Node(tag, at, at.cut or _cut(tag, attrs, articles > 0), f"{attrs.get('class', '')} {attrs.get('id', '')}")
+        attrs = _attributes(token, tag)
+        node = Node(tag, at, at.cut or bool(muted) or _cut(tag, attrs, articles > 0), f"{attrs.get('class', '')} {attrs.get('id', '')}")
         if tag == "header" and articles:
             node.words += " inner-header"
         at.items.append(node)
+        open_tags[tag] += 1
         at, link = node, 0
         if tag in ("article", "main"):
             articles += 1
@@ -192,13 +216,14 @@ def score(root: Node) -> list[Node]:
         if own >= 25 and node.tag in PARAGRAPH:
             points = (1 + commas + min(own / 100, 10)) * (1 - linked / own)
             node.prose += own - linked
-            up, share = (node if node.tag in ("div", "section", "article", "main", "html") else node.parent), 1.0
-            depth = 0
-            while up is not None:
-                up.score += points * share
-                depth += 1
-                share = 0.5 if depth == 1 else 1 / (3 * depth)
-                up = up.parent
+            up = node if node.tag in ("div", "section", "article", "main", "html") else node.parent
+            up.own += points
+    # points pass on once, bottom-up: all to the container, 1/2 to its parent, then 1/6, 1/9 and 2/3 of it each further up
+    for node in reversed(nodes):
+        node.score = node.own + node.below / 2 + node.deeper
+        if node.parent is not None:
+            node.parent.below += node.own
+            node.parent.deeper += node.below / 6 + node.deeper * 2 / 3
     for node in nodes:
         bonus = 25 if node.tag in ("article", "main") else 5 if node.tag in ("div", "section") and GOOD_WORDS.search(node.words) else 0
         if node.score > 0:
