@@ -9,19 +9,22 @@ cluster, other seeds give others, and each decodes to the same text.
 
 The agenda is processed for many words at a time: each round takes every
 word's best candidate that is left (highest score, leftmost), so every word
-sees the merges of its own agenda in order. Words never join across spaces.
+sees the merges of its own agenda in order. A word beyond LONG_WORD characters has a heap for its
+agenda instead, with the same merges. Words never join across spaces.
 A word's merges without dropout are kept, with their places: an occurrence
 that skips none of them has just these pieces, all others are merged anew.
 Characters outside the vocabulary become byte pieces, and so does SentencePiece's
 own mark for a space, so that it isn't decoded as one.
 
 Defined results: null and empty texts have no pieces; white space is kept;
-very long words go the same way; repeated rows with equal doc_id get equal
+very long words and texts are encoded whole; of candidates with equal scores the leftmost comes
+first; an empty table gives no rows; repeated rows with equal doc_id get equal
 pieces; a null doc_id counts as key 0; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -41,6 +44,9 @@ SLOT_BITS = 20
 SPACE = "▁"
 UNIT = re.compile(" +[^ ]*")
 U = np.uint64
+MASK = 2**64 - 1
+#: Words of more characters have an agenda of their own: rounds over all of a word's symbols would take quadratic time.
+LONG_WORD = 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,6 +56,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U(31))
 
 
+def _mixed(x: int) -> int:
+    """``_mix`` of one number."""
+    x &= MASK
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & MASK
+    return x ^ (x >> 31)
+
+
+def _place(i: int, j: int, stop: int) -> int:
+    """A candidate is known by where its two parts and its end lie in the word."""
+    return i * 0x9E3779B97F4A7C15 + j * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9
+
+
 class PieceEncoder:
     def __init__(self, path: str, seed: int = SEED, rate: float = RATE):
         from sentencepiece import SentencePieceProcessor
@@ -87,6 +106,7 @@ class PieceEncoder:
             self.slots[at[free]] = left[free]
             left = left[self.slots[at] != left]
             self.probes += 1
+        self.by_code: dict[int, int] | None = None
         self._forget()
 
     @staticmethod
@@ -121,6 +141,58 @@ class PieceEncoder:
     def merge(self, words: list[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Pieces of the words under their keys (None: without dropout), one word after another, and each word's number of
         pieces; without dropout also the places of the merges, and each word's number of them."""
+        long = np.array([i for i, w in enumerate(words) if len(w) > LONG_WORD], np.int64)
+        if not len(long):
+            return self._merge_rounds(words, keys)
+        short = np.delete(np.arange(len(words)), long)
+        ids, sizes, places, merges = self._merge_rounds([words[i] for i in short.tolist()], None if keys is None else keys[short])
+        one = [self._merge_agenda(words[i], None if keys is None else int(keys[i])) for i in long.tolist()]
+        before = long - np.arange(len(long))  # short words that stand before each long one
+        out = []
+        for flat, each, many in ((ids, [x[0] for x in one], sizes), (places, [x[1] for x in one], merges)):
+            lengths = np.fromiter(map(len, each), np.int64, len(each))
+            at = np.concatenate([[0], np.cumsum(many)])[before].astype(np.int64)
+            out += [np.insert(flat, np.repeat(at, lengths), np.concatenate(each).astype(flat.dtype)), np.insert(many, before, lengths)]
+        return tuple(out)
+
+    def _merge_agenda(self, word: str, key: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces and merges' places of one long word, by an agenda and linked neighbours: the same merges in the same order."""
+        if self.by_code is None:
+            self.by_code = dict(zip(self.pairs[:-1].tolist(), range(len(self.pairs) - 1)))
+            self.plain_rank, self.plain_made = self.rank.tolist(), self.made.tolist()
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4")
+        n, limit, sym = len(chars), int(self._limit()), self.letter[chars].tolist()
+        after, before, there = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+        agenda: list[tuple[int, int, int, int, int]] = []
+        places: list[int] = []
+
+        def propose(i: int) -> None:
+            """The candidate of the symbol at i and the next one, unless it is skipped."""
+            j = after[i]
+            if j >= n or sym[i] < 0 or sym[j] < 0:
+                return
+            k = self.by_code.get(sym[i] * self.n + sym[j])
+            if k is not None and (key is None or _mixed(_mixed(key + _place(i, j, after[j]))) >= limit):
+                heapq.heappush(agenda, (self.plain_rank[k], i, j, after[j], k))
+
+        for i in range(n - 1):
+            propose(i)
+        while agenda:
+            _, i, j, stop, k = heapq.heappop(agenda)
+            if not (there[i] and there[j] and after[i] == j and after[j] == stop):
+                continue  # one of its parts has been merged with another
+            places.append(_place(i, j, stop) & MASK)
+            sym[i], there[j], after[i] = self.plain_made[k], False, stop
+            if stop < n:
+                before[stop] = i
+            if before[i] >= 0:
+                propose(before[i])
+            propose(i)
+        pieces = [[sym[i]] if sym[i] >= 0 else [self.bytes[b] for b in chr(chars[i]).encode("utf-8", "surrogatepass")] for i in range(n) if there[i]]
+        return np.fromiter(chain.from_iterable(pieces), np.int32), np.array(places, np.uint64)
+
+    def _merge_rounds(self, words: list[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``merge`` for many words at a time, one merge of each word a round."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         sym = self.letter[chars]
