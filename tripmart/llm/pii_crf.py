@@ -30,6 +30,11 @@ KINDS = ["email", "ip", "card", "phone"]
 REACH = 4
 EPOCHS = 120
 RATE, DECAY = 0.3, 0.002
+#: Word places decoded together, over all stretches of a group.
+PLACES = 200_000
+#: Digits and repeated signs of a word count up to this many: more make no other feature.
+MOST_RUN = 20
+LONG_RUN = re.compile(r"(.)\1{20,}", re.S)
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -39,6 +44,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 CUE = re.compile(r"[0-9@]|[\[({<]\s?(?:at|AT|At)\s?[\])}>]")
+#: A word that a bracketed at joins from two parts.
+JOINED = re.compile(r"\w[\[({<](?:at|AT|At)[\])}>]\w")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 # The labelled table. A span is [kind: text].
@@ -49,6 +56,8 @@ LABELLED = [
     "mobile [phone: 0049 151 5550 123] or office", "dial [phone: 91 555 01 23] in madrid", "cell [phone: 650-555-0111] please",
     "mail me at [email: jane (at) example.org] soon", "write to [email: john [at] mail.example.com] now", "email [email: info (at) example (dot) net] please",
     "contact [email: sales [at] example [dot] com] today", "send it to [email: max@localhost] again", "address [email: ann.lee(at)example.org] is new",
+    "ask [email: tom(at)example.com] for it", "or [email: kim[at]mail.example.net] first", "and [email: pat.lee.ray{at}example.org] too", "mail [email: jo_li(at)example.co.uk] again",
+    "see [email: bo.ek(at)example.net] there", "find us at [email: desk(at)example.org] daily", "by [email: ann[at]example.net] or post", "the author [email: r.m.stone(at)mail.example.com] wrote it",
     "host [ip: 10,0,0,12] is down", "server [ip: 192-168-1-20] answered", "the address [ip: 172 . 16 . 4 . 9] was used",
     "card [card: 4111.1111.1111.1111] expires soon", "visa [card: 4111/1111/1111/1111] was billed", "pay with [card: 5500_0000_0000_0004] please",
     "in 1998 there were 45 cases and 12 deaths", "chapter 3 page 117 of the book", "it cost 12.50 or 1,200 in all", "born on 12 may 1975 in rome",
@@ -97,18 +106,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape(word: str) -> str:
-    x = re.sub(r"[0-9]", "d", re.sub(r"[^\W\d_]", "x", word[:24]))
-    return re.sub(r"(x)x+", r"\1", x)
+    """The whole word with letters as x and digits as d: runs of letters, and of letters joined by stops, are folded."""
+    x = re.sub(r"[0-9]", "d", re.sub(r"[^\W\d_]+", "x", word))
+    return LONG_RUN.sub(lambda m: m.group()[:MOST_RUN], re.sub(r"x(?:[._+%-]x)+", "x.x", x))
 
 
 def features(words: list[str]) -> list[list[str]]:
     """Names of what is seen at each word: its shape, digits and sign, and its neighbours'."""
     shapes = [shape(w) for w in words]
-    digits = [min(20, len(DIGIT.findall(w[:64]))) for w in words]
+    digits = [min(MOST_RUN, len(DIGIT.findall(w))) for w in words]
     low = [w.lower().strip(":.,;") if w.isascii() and len(w) < 12 and not DIGIT.search(w) else "" for w in words]
     out = []
     for i, w in enumerate(words):
-        f = ["bias", f"s={shapes[i]}", f"d={digits[i]}", f"cue={bool(CUE.search(w))}", f"w={low[i]}", f"first={w[0]}" if not w[0].isalnum() else "first=x"]
+        f = ["bias", f"s={shapes[i]}", f"d={digits[i]}", f"cue={bool(CUE.search(w))}", f"joined={bool(JOINED.search(w))}", f"w={low[i]}", f"first={w[0]}" if not w[0].isalnum() else "first=x"]
         for d in (-1, 1):
             j = i + d
             f += [f"s{d}={shapes[j]}", f"w{d}={low[j]}", f"d{d}={digits[j]}"] if 0 <= j < len(words) else [f"edge{d}"]
@@ -178,35 +188,56 @@ class ChainField:
         return cls(names, emit, move)
 
     def decode(self, stretches: list[list[str]]) -> list[list[int]]:
-        """Best labels of each stretch of words: Viterbi over all of them together, by word place."""
+        """Best labels of each stretch of words: Viterbi over groups of stretches, by word place.
+
+        A group's stretches times its longest one are PLACES at most, or it is one stretch. Scores are made
+        for PLACES places at a time; of a longer stretch only a byte a place and label is held, so the path is exact.
+        """
         out: list[list[int]] = [[] for _ in stretches]
-        order = sorted(range(len(stretches)), key=lambda i: len(stretches[i]))
-        for at in range(0, len(order), 512):
-            part = [i for i in order[at:at + 512] if stretches[i]]
-            if not part:
-                continue
-            n, k = max(len(stretches[i]) for i in part), len(LABELS)
-            e = np.zeros((len(part), n, k))
-            size = np.array([len(stretches[i]) for i in part])
-            for r, i in enumerate(part):
-                for j, f in enumerate(features(stretches[i])):
-                    e[r, j] = self.emit[[self.names[x] for x in f if x in self.names]].sum(axis=0)
-            t = np.where(ALLOWED, self.move, -1e9)
-            best = np.where(START, e[:, 0], -1e9)
-            back = np.zeros((len(part), n, k), np.int8)
-            for j in range(1, n):
-                step = best[:, :, None] + t[None]
-                back[:, j] = step.argmax(axis=1)
-                live = (j < size)[:, None]
-                best = np.where(live, step.max(axis=1) + e[:, j], best)
-            last = best.argmax(axis=1)
-            for r, i in enumerate(part):
-                path = [int(last[r])]
-                for j in range(size[r] - 1, 0, -1):
-                    path.append(int(back[r, j, path[-1]]))
-                out[i] = path[::-1]
+        order = sorted((i for i, s in enumerate(stretches) if s), key=lambda i: len(stretches[i]))
+        at = 0
+        while at < len(order):
+            stop = at + 1
+            while stop < len(order) and (stop + 1 - at) * len(stretches[order[stop]]) <= PLACES:
+                stop += 1
+            for i, path in zip(order[at:stop], self._paths([stretches[i] for i in order[at:stop]])):
+                out[i] = path
+            at = stop
         return out
 
+    def _scores(self, words: list[str], start: int, stop: int) -> np.ndarray:
+        """Label scores of the words from ``start`` to ``stop``, which see one neighbour beyond."""
+        low = max(0, start - 1)
+        seen = features(words[low:stop + 1])[start - low:stop - low]
+        return np.stack([self.emit[[self.names[x] for x in f if x in self.names]].sum(axis=0) for f in seen])
+
+    def _paths(self, group: list[list[str]]) -> list[list[int]]:
+        """Viterbi over a group's stretches; shorter ones first."""
+        k, size = len(LABELS), np.array([len(s) for s in group])
+        n, step = int(size[-1]), max(1, PLACES // len(group))
+        t = np.where(ALLOWED, self.move, -1e9)
+        best, back = np.zeros((len(group), k)), np.zeros((len(group), n, k), np.int8)
+        for c in range(0, n, step):
+            stop = min(n, c + step)
+            e = np.zeros((len(group), stop - c, k))
+            for r, words in enumerate(group):
+                if len(words) > c:
+                    e[r, :min(len(words), stop) - c] = self._scores(words, c, min(len(words), stop))
+            for j in range(c, stop):
+                if j == 0:
+                    best = np.where(START, e[:, 0], -1e9)
+                    continue
+                moves = best[:, :, None] + t[None]
+                back[:, j] = moves.argmax(axis=1)
+                best = np.where((j < size)[:, None], moves.max(axis=1) + e[:, j - c], best)
+        paths = []
+        for r, last in enumerate(best.argmax(axis=1).tolist()):
+            path = [last]
+            for j in range(size[r] - 1, 0, -1):
+                path.append(int(back[r, j, path[-1]]))
+            paths.append(path[::-1])
+        return paths
+
 
 def stretches_of(text: str) -> list[list[tuple[int, int]]]:
     """Places of the words within REACH of a word with a cue, in runs."""
