@@ -4,15 +4,19 @@ A document's base counts (words, symbols, repeated lines and windows) come
 first. Documents that pass them are then compared with language references:
 the Jensen-Shannon distance between histograms of character classes and of
 common words. The references are the mean histograms of all documents of a
-language that pass the base counts; a document is held against the nearest
-one, so a wrong or missing language label does no harm. In a short text one
+language that pass the base counts, if there are MIN_SUPPORT of them; a document is held against the nearest
+one, so a wrong or missing language label does no harm. Its own part is left out of its language's
+mean, and a label that few documents bear has no reference: they are held against the
+other languages, so junk can't vouch for itself by a label of its own. If no language has
+documents enough, all of them together, the document too, make the one reference. In a short text one
 odd word (a card number, an address) moves the histogram far, so the allowed
 distance grows as the text gets shorter, see ``allowed``.
 
 Defined results: null and empty texts have no words and fail the base rule;
 a text without a character of any class, or a table where no document passes
-the base counts, has distance 0 (nothing to compare with); repeated rows are
-judged one by one; extra columns are ignored.
+the base counts, has distance 0 (nothing to compare with); a null lang is the empty one; very long texts are counted whole;
+repeated rows are judged one by one, and each counts in its language's mean; an empty table gives no
+rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import SPACES, stored
+from tripmart.llm.common import SPACES, join_hot, stored
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
+#: Documents that a language's reference needs, and the share of all (one part of so many) from which it is a common one.
+MIN_SUPPORT = 20
+COMMON_PARTS = 1000
 SYMBOLS = "#*$%&|<>"
 #: One odd word that a text may hold beside its prose: a card number of 19 digits with four signs between them.
 ODD_CHARS = 23
@@ -136,12 +143,47 @@ def allowed(distance: float, odd: int, n: Column) -> Column:
     return F.sqrt((1 - share) * F.lit(distance * distance) + share)
 
 
+def _references(table: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Per lang: its rows, those that pass the base counts (``support``), and their mean histograms; written."""
+    passed = ~F.col("base_failed")
+    support = F.count_if(passed).alias("support")
+    means = [F.array(*[F.avg(F.when(passed, F.get(p, F.lit(i)))) for i in range(n)]).alias(p) for p, n in sizes.items()]
+    return stored(table.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), support, *means), "quality_references")
+
+
+def _pooled(refs: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """One reference of all documents that pass the base counts, for tables without a language that has enough."""
+    weighted = [F.array(*[F.sum(F.get(p, F.lit(i)) * F.col("support")) / F.sum("support") for i in range(n)]).alias(p) for p, n in sizes.items()]
+    return refs.where("support > 0").agg(F.lit(None).cast("string").alias("lang"), F.sum("support").alias("support"), *weighted).where("support > 0")
+
+
+def _left_out(ref: Column, own: Column, support: Column, member: Column) -> Column:
+    """A mean histogram without the document's own part, if it has one."""
+    return F.zip_with(ref, own, lambda m, x: F.when(member, F.greatest(F.lit(0.0), (m * support - x) / F.greatest(support - 1, F.lit(1)))).otherwise(m))
+
+
+def _own_reference(table: DataFrame, refs: DataFrame, common: list[str]) -> DataFrame:
+    """table with ``own``, the reference of the document's language if it has one and is not among the common ones.
+
+    Rows of common languages stay where they are; only the others are dealt by language, no matter
+    how many of them one language has.
+    """
+    kind = refs.select(F.struct("lang", "support", "pc", "pw").alias("own")).schema["own"].dataType
+    rest = refs.where(~F.col("lang").isin(common))
+    own = rest.select("lang", "rows", F.when(F.col("support") >= MIN_SUPPORT, F.struct("lang", "support", "pc", "pw")).alias("own"))
+    if own.where("own is not null").isEmpty():
+        return table.withColumn("own", F.lit(None).cast(kind))
+    there = table.where(F.col("lang").isin(common)).withColumn("own", F.lit(None).cast(kind))
+    elsewhere = join_hot(table.where(~F.col("lang").isin(common)), own, "lang", "rows").drop("rows")
+    return there.unionByName(elsewhere)
+
+
 def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, base counts, base_failed, char_distance, word_distance, kept.
 
-    The histograms are computed once and written; the references, one for every
-    value of lang, come from that narrow table. They are joined to each document
-    as one broadcast list: about half a KB a language. The columns
+    The histograms are computed once and written; the references come from that narrow table.
+    The common ones (each of a thousandth of the documents at least, so a thousand at most) are
+    broadcast to all documents; a rarer language's reference is joined to its own documents. The columns
     of docs named in ``carry`` go along, as the struct ``row``.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
@@ -152,13 +194,22 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
     table = stored(df, "quality_histograms")
     table = table.withColumns({"pc": _shares("chars"), "pw": _shares("commons")})
     sizes = {"pc": len(CLASSES) + 3, "pw": len(WORDS) + 1}
-    means = [F.array(*[F.avg(F.get(p, F.lit(i))) for i in range(n)]).alias(p) for p, n in sizes.items()]
-    refs = table.where(~F.col("base_failed")).groupBy("lang").agg(*means).agg(F.collect_list(F.struct(*sizes)).alias("refs"))
+    refs = _references(table, sizes)
+    least = F.greatest(F.lit(MIN_SUPPORT), F.ceil(F.lit((refs.agg(F.sum("support")).first()[0] or 0) / COMMON_PARTS)))
+    common = refs.where(F.col("support") >= least)  # COMMON_PARTS rows at most
+    names = [r[0] for r in common.select("lang").collect()]
+    if not names:
+        common = _pooled(refs, sizes)
+    df = _own_reference(table, refs, names).crossJoin(F.broadcast(common.agg(F.collect_list(F.struct("lang", "support", *sizes)).alias("refs"))))
+    every = F.when(F.col("own").isNull(), F.col("refs")).otherwise(F.concat("refs", F.array("own")))
 
     def nearest(p: str) -> Column:
-        return F.coalesce(F.array_min(F.transform("refs", lambda r: _distance(F.col(p), r[p]))), F.lit(0.0))
+        def distance(r: Column) -> Column:
+            member = ~F.col("base_failed") & F.coalesce(r["lang"] == F.col("lang"), F.lit(False))
+            return _distance(F.col(p), _left_out(r[p], F.col(p), r["support"], member))
+
+        return F.coalesce(F.array_min(F.transform(every, distance)), F.lit(0.0))
 
-    df = table.crossJoin(F.broadcast(refs))
     df = df.withColumns({
         "char_distance": F.when(F.col("word_chars") > 0, nearest("pc")).otherwise(0.0),
         "word_distance": F.when(F.col("n_words") > 0, nearest("pw")).otherwise(0.0),
