@@ -151,3 +151,43 @@ def test_month_refresh_drops_vanished_days_of_every_mart(spark, make_raw, scratc
     for name in ("daily_borough", "daily_zone", "daily_service"):
         days = [r.trip_date.isoformat() for r in spark.read.parquet(f"{scratch}/marts/{name}").select("trip_date").orderBy("trip_date").collect()]
         assert days == ["2024-01-15", "2024-02-06"], name
+
+
+def mixed_landing(make_raw, root):
+    """Three months in three types: as declared; bigint ids and decimal money; times as text and int minutes."""
+    from test_writes_and_streams import day
+
+    first, second, third = (make_raw(trip(**day(4, month=m)), trip(PULocationID=None, **day(5, month=m))) for m in (1, 2, 3))
+    ids = {c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")}
+    money = {c: F.col(c).cast("decimal(18,6)") for c in ("base_passenger_fare", "tips", "bcf", "airport_fee")}
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime")}
+    land_raw(first, root)
+    land_raw(second.withColumns({**ids, **money}), root, mode="dynamic")
+    land_raw(third.withColumns({**times, "trip_time": F.col("trip_time").cast("int")}).drop("wav_match_flag"), root, mode="dynamic")
+
+
+def test_files_of_different_types_are_one_landing(spark, make_raw, scratch, zones_df):
+    from tripmart.sources.mixed import raw_scans
+    from tripmart.streaming.incremental import read_curated
+
+    mixed_landing(make_raw, f"{scratch}/raw")
+    assert len(raw_scans(spark, f"{scratch}/raw")) == 3
+    rep = build_curated(spark, f"{scratch}/raw", f"{scratch}/cur")
+    assert (rep.input_rows, rep.output_rows["curated_trips"]) == (6, 3)
+    rows = scan_curated(spark, f"{scratch}/cur").drop("processing_timestamp", "month", "trip_date", *[f"{x}_datetime" for x in ("request", "on_scene", "pickup", "dropoff")])
+    got = [tuple(r) for r in rows.drop("day_of_week", "is_weekend", "wav_match_flag").collect()]
+    assert len(set(got)) == 1 and len(got) == 3
+    assert [r.pickup_datetime.hour for r in scan_curated(spark, f"{scratch}/cur").collect()] == [10, 10, 10]
+    # increments take the same files, batch by batch
+    refresh_curated(spark, f"{scratch}/raw", f"{scratch}/inc", f"{scratch}/ck", max_files_per_trigger=2)
+    same = [read_curated(spark, f"{scratch}/inc"), scan_curated(spark, f"{scratch}/cur")]
+    assert len({tuple(sorted(map(str, d.drop("processing_timestamp").collect()))) for d in same}) == 1
+
+
+def test_files_whose_types_merge_are_one_scan(spark, make_raw, scratch):
+    from tripmart.sources.mixed import raw_scans
+
+    land_raw(make_raw(trip()), f"{scratch}/raw")
+    land_raw(make_raw(trip()).drop("wav_match_flag").withColumn("cbd_congestion_fee", F.lit(0.75)), f"{scratch}/raw", mode="append")
+    (scan,) = raw_scans(spark, f"{scratch}/raw")
+    assert scan.count() == 2 and scan.where("wav_match_flag is null").count() == 1

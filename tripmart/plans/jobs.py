@@ -8,8 +8,9 @@ actions, so no table is read again just to be counted.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import marts
@@ -21,8 +22,9 @@ from tripmart.session import prepare, work_dir
 from tripmart.sinks import write_table
 from tripmart.sinks.fs import children, exists, remove
 from tripmart.sinks.publish import Publication, last_record
+from tripmart.sources.mixed import raw_scans
 from tripmart.sources.states import STATES, UNKNOWN, Day, days_of, recorded_states, states_frame
-from tripmart.sources.tables import month_target, only_month, scan_curated, scan_raw
+from tripmart.sources.tables import month_target, only_month, scan_curated
 
 
 # Per-day partials kept beside the marts by increments (a leading "_" hides the directory
@@ -64,15 +66,18 @@ class StepReport:
         return 100.0 * self.output_rows.get(table, 0) / self.input_rows
 
 
-def curate_and_validate(raw: DataFrame, obs: Observation, use_cbd_fee: bool = False,
-                        keep: tuple[str, ...] = (), metrics: tuple[Column, ...] = ()) -> DataFrame:
-    """Curated rows that pass every rule; input and valid counts, and further ``metrics``, go to ``obs``."""
-    curated = curate_trips(raw, use_cbd_fee, keep)
+def curate_and_validate(raw: DataFrame | list[DataFrame], obs: Observation, use_cbd_fee: bool = False,
+                        keep: tuple[str, ...] = ()) -> DataFrame:
+    """Curated rows that pass every rule; input and valid counts go to ``obs``.
+
+    Scans of different types are curated each by itself and united.
+    """
+    scans = raw if isinstance(raw, list) else [raw]
+    curated = reduce(DataFrame.unionByName, [curate_trips(r, use_cbd_fee, keep) for r in scans])
     counted = curated.observe(
         obs,
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(passes()).alias("valid_rows"),
-        *metrics,
     )
     return counted.where(all_rules())
 
@@ -87,8 +92,8 @@ def build_curated(
     """Full rebuild of the curated table (replaces it), partitioned y/m/d."""
     prepare(spark)
     guard_layout(spark, out, incremental=False)
-    raw = scan_raw(spark, raw_root, extra=(CBD_FEE,) if use_cbd_fee else ()) if raw is None else raw
-    if raw.isEmpty():
+    raw = raw_scans(spark, raw_root, (CBD_FEE,) if use_cbd_fee else ()) if raw is None else [raw]
+    if all(r.isEmpty() for r in raw):
         raise EmptyInputError(f"no raw trips under {raw_root}")
     obs = Observation("curate")
     valid = curate_and_validate(raw, obs, use_cbd_fee)

@@ -124,13 +124,21 @@ class Publication:
         self.write_rows(df, f"{self.stage}/{folder}", partition_by)
         self.tables[table] = (mode, folder)
 
+    def correction_number(self) -> int:
+        """A negative number that no other publication of this root has or will have."""
+        return -(self.base + 1)
+
     def path(self, table: str) -> str:
         """Where a staged table can be read before it is committed."""
         return f"{self.stage}/{self.tables[table][1]}"
 
+    def files(self, table: str) -> list[str]:
+        """Files staged for a table, like ``year=2024/month=1/part-0.parquet``."""
+        return files_below(self.spark, self.path(table))
+
     def partitions(self, table: str) -> set[str]:
         """Partition folders staged for a table, like ``year=2024/month=1``."""
-        return {f.rpartition("/")[0] for f in files_below(self.spark, self.path(table))}
+        return {f.rpartition("/")[0] for f in self.files(table)}
 
     def drop(self, table: str, partitions: list[str]) -> None:
         """Partitions that go with the commit, but for those that are staged."""

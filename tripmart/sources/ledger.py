@@ -15,7 +15,7 @@ DataFrames: listings and ledger may have millions of files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.sinks.fs import children, exists
@@ -34,6 +34,16 @@ def listed_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(*[F.expr(m).alias(c) for c, m in METADATA.items()])
 
 
+def file_key(path: Column, size: Column, modified: Column) -> Column:
+    """One text for a file in one state, as the rows made from it carry it."""
+    return F.concat_ws("#", path, size.cast("string"), modified.cast("string"))
+
+
+def listed_now(files: DataFrame, root: str) -> list:
+    """Those of the given FILE rows that are still there as they were (a batch's bound of rows)."""
+    return files.join(listed_files(files.sparkSession, root), FILE, "left_semi").collect()
+
+
 def ledger_path(out: str) -> str:
     return f"{out.rstrip('/')}/{LEDGER}"
 

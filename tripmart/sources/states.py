@@ -2,7 +2,8 @@
 
 The state of a day is a digest of its files' names, sizes and times, in any
 order: a listing tells whether a day was added, changed or removed since
-its partials were made, without opening a file.  The marts' root keeps the
+its partials were made, without opening a file.  Files that stand for others with the
+same rows (a compaction) carry the state of those.  The marts' root keeps the
 states its partials come from, published together with them.  A day
 whose state differs is stale and is made again before anything is rolled up.
 """
@@ -20,6 +21,9 @@ from tripmart.sinks.publish import STAGED
 from tripmart.sources.ledger import listed_files
 
 STATES = "_day_states"
+#: Files written in place of others: their path below the root and the state that each counts with.
+STAND_INS = "_stand_ins"
+STAND_IN_SCHEMA = "within string, state long"
 SCHEMA = "year int, month int, day int, state long"
 #: State of a day whose rows did not come from the curated table as it is; equal to no digest's presence in a listing.
 UNKNOWN = None
@@ -27,16 +31,24 @@ UNKNOWN = None
 Day = tuple[int, int, int]
 
 
+def day_files(spark: SparkSession, curated_root: str) -> DataFrame:
+    """year, month, day, folder, within (path below the root), size, state of every curated file: a listing."""
+    path = F.col("path")
+    within = F.regexp_extract(path, r"/((batch_id=-?\d+/)?year=\d+/month=\d+/day=\d+/[^/]+)$", 1)
+    files = listed_files(spark, curated_root).withColumn("within", within).where((within != "") & ~path.contains(f"/{STAGED}/"))
+    numbers = [F.regexp_extract("within", rf"(^|/){p}=(\d+)/", 2).cast("int").alias(p) for p in CURATED_PARTITIONS]
+    own = F.xxhash64("within", "size", "modified")
+    if exists(spark, f"{curated_root}/{STAND_INS}"):
+        stand_ins = spark.read.schema(STAND_IN_SCHEMA).parquet(f"{curated_root}/{STAND_INS}").groupBy("within").agg(F.first("state").alias("other"))
+        files, own = files.join(stand_ins, "within", "left"), F.coalesce("other", own)
+    return files.select(*numbers, F.regexp_extract("within", r"^(.*)/[^/]+$", 1).alias("folder"), "within", "size", own.alias("state"))
+
+
 def day_states(spark: SparkSession, curated_root: str) -> dict[Day, int]:
     """The current state of every day (a row a day reaches the driver: bounded by the calendar)."""
     if not exists(spark, curated_root):
         return {}
-    path = F.col("path")
-    numbers = [F.regexp_extract(path, rf"/{p}=(\d+)/", 1) for p in CURATED_PARTITIONS]
-    within = F.regexp_extract(path, r"/((batch_id=-?\d+/)?year=\d+/month=\d+/day=\d+/[^/]+)$", 1)
-    files = listed_files(spark, curated_root).where((within != "") & ~path.contains(f"/{STAGED}/"))
-    days = files.groupBy(*[n.cast("int").alias(p) for n, p in zip(numbers, CURATED_PARTITIONS)]).agg(
-        F.bit_xor(F.xxhash64(within, "size", "modified")).alias("state"))
+    days = day_files(spark, curated_root).groupBy(*CURATED_PARTITIONS).agg(F.bit_xor("state").alias("state"))
     return {(r.year, r.month, r.day): r.state for r in days.collect()}
 
 

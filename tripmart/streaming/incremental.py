@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +41,19 @@ from tripmart.sources.ledger import (
     FILE_TYPES,
     LEDGER,
     METADATA,
+    file_key,
     files_not_taken,
     gone_files,
     has_tombstones,
     ledger_path,
     listed_files,
+    listed_now,
     live_files,
     next_generation,
 )
+from tripmart.sources.mixed import raw_scans
 from tripmart.sources.states import STATES, day_states, days_of, folder, recorded_states, states_frame
-from tripmart.sources.tables import landed_schema, scan_curated
+from tripmart.sources.tables import scan_curated
 
 # Files per micro-batch: a backfill of a large landing zone runs as a series
 # of bounded batches (each replayable on its own), not as one huge batch.
@@ -61,9 +63,16 @@ MAX_DAYS = 1_000
 # Partials of appended batches, merged on read.
 APPENDED_DIR = "_appended_partials"
 CURATED_STREAM = CURATED_ANY_LAYOUT
-# The raw file of each curated row, kept in incremental tables so that its rows can be taken back.
+# The raw file, in its state, of each curated row: kept in incremental tables so that its rows can be taken back.
 SOURCE = "_source"
-SOURCE_METADATA = {SOURCE if c == "path" else f"_source_{c}": m for c, m in METADATA.items()}
+FILE_COLUMN = "_file"
+LISTING = "path string, modificationTime timestamp, length long, content binary"
+CURATED_SOURCED = StructType([*CURATED_STREAM.fields, StructField(SOURCE, StringType())])
+
+
+def with_file(raw: DataFrame) -> DataFrame:
+    """Rows of a file scan with the file they come from."""
+    return raw.select("*", F.struct(*[F.expr(m).alias(c) for c, m in METADATA.items()]).alias(FILE_COLUMN))
 
 
 class CheckpointMismatch(RuntimeError):
@@ -120,25 +129,25 @@ def refresh_curated(
     guard_ledger(spark, out)
     listed = _kept(listed_files(spark, raw_root), "landing-listed")
     take_back(spark, listed, out)
-    schema = landed_schema(spark, raw_root, (CBD_FEE,) if use_cbd_fee else ())
     reports: list[dict] = []
+    # The stream is one of the files' listing: it tells which are new, and their contents are read by a scan.
     stream = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile").schema(LISTING)
+        .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("ignoreMissingFiles", True)  # a file taken away between plan and read: the ledger knows
-        .parquet(raw_root)
-        .select("*", *[F.expr(m).alias(c) for c, m in SOURCE_METADATA.items()])
+        .load(raw_root)
+        .select(*[F.expr(m).alias(c) for c, m in METADATA.items()])
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
         key = f"curate-{batch_id}"
         if not is_published(spark, out, key):  # else the batch was done before a failure
-            reports.append(_publish_curated(df, batch_id, out, use_cbd_fee, key))
+            reports.append(_publish_curated(spark, raw_root, df.collect(), out, use_cbd_fee, batch_id, key))
 
     _run(stream, batch, checkpoint)
     rest = _kept(files_not_taken(live_files(spark, out), listed), "landing-rest").collect()
     for i in range(0, len(rest), max_files_per_trigger):
-        reports.append(_take_in(spark, raw_root, schema, rest[i:i + max_files_per_trigger], out, use_cbd_fee))
+        reports.append(_publish_curated(spark, raw_root, rest[i:i + max_files_per_trigger], out, use_cbd_fee))
     return reports
 
 
@@ -155,24 +164,27 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _publish_curated(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bool, key: str | None = None,
-                     listed: DataFrame | None = None) -> dict:
-    """Curate rows of known files into ``out/batch_id=N/``, together with the ledger's entries for the files.
+def _publish_curated(spark: SparkSession, raw_root: str, files: list, out: str, use_cbd_fee: bool,
+                     batch_id: int | None = None, key: str | None = None) -> dict:
+    """Curate given files (a batch's bound of them) into ``out/batch_id=N/``, together with their ledger entries.
 
-    The files are named by the rows themselves (at most a batch's bound of them), or by ``listed``.
+    Without a batch's number the rows are a correction, numbered by its publication, negative.
     """
-    spark = raw.sparkSession
-    obs = Observation(f"curate_batch_{batch_id}")
-    found = F.collect_set(F.struct(*SOURCE_METADATA)).alias("files")
-    valid = curate_and_validate(raw, obs, use_cbd_fee, keep=tuple(SOURCE_METADATA), metrics=() if listed is not None else (found,))
     with Publication(spark, out, key) as pub:
-        tagged = valid.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")).drop(*list(SOURCE_METADATA)[1:])
-        pub.write(tagged, "", [BATCH_COLUMN, *CURATED_PARTITIONS], mode="dynamic")
-        counts = obs.get
-        if listed is None:
-            rows = [tuple(f) for f in counts.pop("files")]
-            listed = spark.createDataFrame(rows, FILE_TYPES)
-        _publish_entries(pub, listed.withColumns({BATCH_COLUMN: F.lit(batch_id).cast("long"), "live": F.lit(True)}), out)
+        batch_id = pub.correction_number() if batch_id is None else batch_id
+        entries = spark.createDataFrame([tuple(f) for f in files], FILE_TYPES)
+        there = listed_now(entries, raw_root)  # a file replaced since it was listed is for the next run
+        obs = Observation(f"curate_batch_{batch_id}")
+        counts = {"input_rows": 0, "valid_rows": 0}
+        if there:
+            scans = [with_file(r) for r in raw_scans(spark, raw_root, (CBD_FEE,) if use_cbd_fee else (), [f.path for f in there])]
+            valid = curate_and_validate(scans, obs, use_cbd_fee, keep=(FILE_COLUMN,))
+            source = file_key(*[F.col(f"{FILE_COLUMN}.{c}") for c in FILE])
+            tagged = valid.withColumns({BATCH_COLUMN: F.lit(batch_id).cast("long"), SOURCE: source}).drop(FILE_COLUMN)
+            pub.write(tagged, "", [BATCH_COLUMN, *CURATED_PARTITIONS], mode="dynamic")
+            counts = obs.get
+        taken = spark.createDataFrame([tuple(f) for f in there], FILE_TYPES)
+        _publish_entries(pub, taken.withColumns({BATCH_COLUMN: F.lit(batch_id).cast("long"), "live": F.lit(True)}), out)
         pub.commit()
     return {"batch_id": batch_id, **counts}
 
@@ -182,15 +194,6 @@ def _publish_entries(pub: Publication, entries: DataFrame, out: str) -> None:
     pub.write(entries.select(*FILE, BATCH_COLUMN, "live", F.lit(generation).alias("generation")), LEDGER, ["generation"], mode="dynamic")
 
 
-def _take_in(spark: SparkSession, raw_root: str, schema, files: list, out: str, use_cbd_fee: bool) -> dict:
-    """Curate given files as a correction: a batch with a negative number, which no stream uses."""
-    paths = [unquote(f.path) for f in files]
-    raw = spark.read.schema(schema).option("basePath", raw_root).parquet(*paths)
-    raw = raw.select("*", *[F.expr(m).alias(c) for c, m in SOURCE_METADATA.items()])
-    listed = spark.createDataFrame([tuple(f) for f in files], FILE_TYPES)
-    return _publish_curated(raw, -next_generation(spark, out), out, use_cbd_fee, listed=listed)
-
-
 def take_back(spark: SparkSession, listed: DataFrame, out: str) -> int:
     """Remove the rows of raw files that are gone or no longer the same; returns how many files.
 
@@ -201,17 +204,17 @@ def take_back(spark: SparkSession, listed: DataFrame, out: str) -> int:
     gone = _kept(gone_files(live_files(spark, out), listed), "landing-gone")
     if gone.isEmpty():
         return 0
-    rows = spark.read.schema(StructType([*CURATED_STREAM.fields, StructField(SOURCE, StringType())])).parquet(out)
-    key = [SOURCE, BATCH_COLUMN]
-    dead = gone.select(F.col("path").alias(SOURCE), BATCH_COLUMN)
-    batches = [r[0] for r in gone.select(BATCH_COLUMN).distinct().collect()]
+    rows = spark.read.schema(CURATED_SOURCED).parquet(out)
+    dead = gone.select(file_key(*[F.col(c) for c in FILE]).alias(SOURCE))
+    # their rows may have moved on to compacted batches, which the ledger does not name
+    batches = {r[0] for r in gone.select(BATCH_COLUMN).distinct().collect()} | compacted_batches(spark, out)
     # of the batches' rows only the file names are read here
-    hit = rows.where(F.col(BATCH_COLUMN).isin(batches)).join(dead, key, "left_semi").select(BATCH_COLUMN, *CURATED_PARTITIONS).distinct()
+    hit = rows.where(F.col(BATCH_COLUMN).isin(sorted(batches))).join(dead, SOURCE, "left_semi").select(BATCH_COLUMN, *CURATED_PARTITIONS).distinct()
     days = {tuple(r) for r in hit.collect()}  # batches and days of the calendar
     parts = [BATCH_COLUMN, *CURATED_PARTITIONS]
-    within = rows.where(F.col(BATCH_COLUMN).isin(batches) & partitions_in(CURATED_PARTITIONS, {d[1:] for d in days}))
+    within = rows.where(F.col(BATCH_COLUMN).isin(sorted(batches)) & partitions_in(CURATED_PARTITIONS, {d[1:] for d in days}))
     hits = spark.createDataFrame(sorted(days), "batch_id long, year int, month int, day int")
-    kept = within.join(F.broadcast(hits), parts, "left_semi").join(dead, key, "left_anti")
+    kept = within.join(F.broadcast(hits), parts, "left_semi").join(dead, SOURCE, "left_anti")
     with Publication(spark, out) as pub:
         if days:
             pub.write(kept, "", parts, mode="dynamic")
@@ -221,6 +224,13 @@ def take_back(spark: SparkSession, listed: DataFrame, out: str) -> int:
     return gone.count()
 
 
+def compacted_batches(spark: SparkSession, out: str) -> set[int]:
+    """Batches that the ledger does not name: written by compactions."""
+    prefix = f"{BATCH_COLUMN}="
+    there = {int(n.removeprefix(prefix)) for n in children(spark, out) if n.startswith(prefix)}
+    return {b for b in there if b < 0} - {r[0] for r in live_files(spark, out).where("batch_id < 0").select(BATCH_COLUMN).distinct().collect()}
+
+
 def write_curated_batch(raw: DataFrame, batch_id: int, out: str, use_cbd_fee: bool = False) -> dict:
     """Curate rows into ``out/batch_id=N/``; replaying N replaces the days it holds."""
     obs = Observation(f"curate_batch_{batch_id}")
@@ -319,8 +329,8 @@ def _recompute_days(spark: SparkSession, curated_root: str, zones: DataFrame, zo
 def _append_batches(spark: SparkSession, curated_root: str, zones: DataFrame, zone_rows: int, out_root: str,
                     checkpoint: str, tables: tuple[str, ...], max_files: int) -> list[int]:
     """Each batch's own aggregates and partials added once: a batch that is published is passed over."""
-    if has_tombstones(spark, curated_root):
-        raise RetractedInputError(f"rows were taken back from {curated_root}; appended marts can't follow, use on_touch='recompute'")
+    if has_tombstones(spark, curated_root) or compacted_batches(spark, curated_root):
+        raise RetractedInputError(f"rows were taken back from {curated_root} or moved; appended marts can't follow, use on_touch='recompute'")
     batches: list[int] = []
     stream = spark.readStream.schema(CURATED_STREAM).option("maxFilesPerTrigger", max_files).parquet(curated_root)
     owner = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
