@@ -27,7 +27,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,9 @@ from tripmart.llm.common import stored
 LENGTH = 2048
 QUANTUM = 64
 END_ID = 1
-#: Characters of text tokenized at a time, and words remembered by a task.
+#: Characters of text tokenized at a time, and words remembered by a worker.
 SLICE_CHARS = 4 << 20
-HELD_WORDS = 600_000
+HELD_WORDS = 1_000_000
 
 # Letters that stay single letters under the tokenizer's normaliser, the characters
 # of texts whose words are told apart here, and the tokenizer's own pattern of a word over those.
@@ -78,18 +78,25 @@ class WordTokenizer:
         """All ids, texts one after another, and the number of ids of each text."""
         # texts with other characters are parted at spaces only, and their words left to the tokenizer
         words = [PRETOKEN.findall(t.lower()) if SAFE.fullmatch(t) and "<|" not in t else re.split("[ \n]+", t) for t in texts]
-        new = set().union(*words).difference(self.held) if words else set()
-        if len(self.held) + len(new) > HELD_WORDS:
-            self._forget()
-            new = set().union(*words)
-        self._remember(list(new))
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        sizes = self.sizes[flat]
+        flat = list(chain.from_iterable(words))
+        numbers = self._numbers(flat)
+        if (unknown := np.flatnonzero(numbers < 0)).size:
+            new = {flat[i] for i in unknown.tolist()}
+            if len(self.held) + len(new) > HELD_WORDS:
+                self._forget()
+                new, unknown = set(flat), np.arange(len(flat))
+            self._remember(list(new))
+            numbers[unknown] = self._numbers([flat[i] for i in unknown.tolist()])
+        sizes = self.sizes[numbers]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.starts[flat] - total[:-1], sizes) + np.arange(total[-1])]
+        ids = self.ids[np.repeat(self.starts[numbers] - total[:-1], sizes) + np.arange(total[-1])]
         return ids, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers, -1 for words not remembered."""
+        return np.fromiter(map(self.held.get, words, repeat(-1)), np.int64, len(words))
+
     def _remember(self, new: list[str]) -> None:
         """Encode new words; runs of letters many at a time, told apart by their ends."""
         plain = [w for w in new if PLAIN.fullmatch(w)]
@@ -119,6 +126,16 @@ class WordTokenizer:
             self.ids = np.concatenate([self.ids, *ids])
 
 
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker: Spark reuses a worker for many tasks, and words learnt serve all of them."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_word_tokenizers", {})
+    if path not in held:
+        held[path] = WordTokenizer(path)
+    return held[path]
+
+
 def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges of texts of about ``most`` characters together, one text at least."""
     start = size = 0
@@ -133,7 +150,7 @@ def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
 
 def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = worker_tokenizer(path)
         part = TaskContext.get().partitionId()
         queued: dict[str | None, int] = {}
         for batch in batches:
