@@ -23,6 +23,8 @@ WRITES = {
     "target_month_refresh_zone", "target_month_refresh_service",
     "incremental_aggregate_zone", "incremental_aggregate_service",
     "chained_run_borough", "chained_run_zone", "chained_run_service", "pipeline_summary", "curated_other_types",
+    "relanded_curate", "refresh_then_increment_borough", "refresh_then_increment_zone", "refresh_then_increment_service",
+    "files_to_land", "profile_by_day", "curated_mixed_types", "partition_discovery", "written_compression", "processing_stamp", "empty_input",
 }
 TABLES = ["region", "nation", "lineitem"]
 

@@ -39,3 +39,28 @@ def test_touched_days_prune_the_scan(spark, scratch):
     assert len(df.inputFiles()) >= 2
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_job_gives_the_callers_settings_back(spark):
+    from tripmart.session import SESSION_CONF, with_job_settings
+
+    seen = []
+
+    @with_job_settings
+    def job(spark, fails):
+        seen.append({k: spark.conf.get(k) for k in SESSION_CONF})
+        if fails:
+            raise ValueError("stop")
+
+    mine = {"spark.sql.session.timeZone": "Asia/Tokyo", "spark.sql.codegen.hugeMethodLimit": "65535"}
+    before = {k: spark.conf.get(k) for k in mine}
+    try:
+        for k, v in mine.items():
+            spark.conf.set(k, v)
+        job(spark, False)
+        with pytest.raises(ValueError):
+            job(spark, fails=True)
+        assert {k: spark.conf.get(k) for k in mine} == mine and seen == [SESSION_CONF, SESSION_CONF]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

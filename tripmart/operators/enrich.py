@@ -2,7 +2,8 @@
 
 The dimension is checked once (one tiny aggregation) for duplicate keys
 and for its size in bytes.  Only one of at most ``BROADCAST_MAX_BYTES`` is
-broadcast; a larger one falls back to a shuffle join that AQE may still convert.
+broadcast; a larger one is joined by shuffle, with the few ids that a large share of the trips
+has split off (``operators.skew``).
 The same DataFrame serves both roles, so the broadcast is built once and
 reused (``ReusedExchange``).
 """
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tripmart.operators.skew import frequent_keys, spread_left_join
+
 # Largest zone table, as its measured size, broadcast to every executor.
 BROADCAST_MAX_BYTES = 16 << 20
 # What a row takes besides its text.
@@ -79,7 +82,10 @@ def enrich_zones(
     Unknown ids keep the trip with NULL names.  ``keep`` lists the trip
     columns carried along (default: those the marts use).
     """
-    dim = sized_for_join(zones, checked_size)
+    size = check_zones(zones) if checked_size is None else checked_size
+    if size > BROADCAST_MAX_BYTES:
+        return _enrich_by_shuffle(trips, zones, keep)
+    dim = sized_for_join(zones, size)
     pu, do = dim.alias("pu"), dim.alias("do")
     t = trips.alias("t")
     joined = t.join(pu, F.col("t.PULocationID") == F.col("pu.LocationID"), "left").join(
@@ -92,6 +98,20 @@ def enrich_zones(
     )
 
 
+def _enrich_by_shuffle(trips: DataFrame, zones: DataFrame, keep: list[str] | None) -> DataFrame:
+    """The same rows without broadcasting the dimension."""
+    ids = {"pu": "PULocationID", "do": "DOLocationID"}
+    frequent = frequent_keys(trips, list(ids.values()))
+    dim = zones.select("LocationID", *ZONE_FIELDS)
+    joined = trips
+    for alias, column in ids.items():
+        joined = spread_left_join(joined, dim, column, "LocationID", frequent[column], f"__{alias}")
+    return joined.select(
+        *(keep or ENRICHED_TRIP_COLUMNS),
+        *[F.col(f"__{alias}.{src}").alias(f"{role}_{dst}") for alias, role in ZONE_ROLES.items() for src, dst in ZONE_FIELDS.items()],
+    )
+
+
 def unmatched_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Location ids used by trips that have no zone row, per role, with trip counts.
 

@@ -1,8 +1,8 @@
 """Table reports: preview, column profile, row-count summary.
 
 All of them are single aggregations or a top-k, never a collect of the
-table: the profile is one ``agg`` whose one-row result is unpivoted, and
-the preview is ``orderBy().limit()`` (a per-task top-k, then a merge).
+table: the profile is one ``agg`` whose one-row result is unpivoted (its parts may be
+kept by day, see ``streaming.profiles``), and the preview is ``orderBy().limit()`` (a per-task top-k, then a merge).
 """
 
 from __future__ import annotations
@@ -19,26 +19,37 @@ def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> Dat
 
 def profile(df: DataFrame) -> DataFrame:
     """Per column: rows, nulls, min and max (as text), from one scan."""
-    exprs = [F.count(F.lit(1)).alias("__rows")]
+    return merged_profile(profile_parts(df), df.columns)
+
+
+def profile_parts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """A row a group (one in all by default) of what a profile needs: rows, and non-nulls, min and max of each column.
+
+    Such rows can be merged again, over any groups.
+    """
+    exprs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(df.columns):
         col = F.col(f"`{c}`")
-        exprs += [
-            F.count(col).alias(f"n{i}"),
-            F.min(col).cast("string").alias(f"lo{i}"),
-            F.max(col).cast("string").alias(f"hi{i}"),
-        ]
-    one_row = df.agg(*exprs)
+        exprs += [F.count(col).alias(f"n{i}"), F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
+    return df.groupBy(*(by or [])).agg(*exprs) if by else df.agg(*exprs)
+
+
+def merged_profile(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """The profile from its parts."""
+    exprs = [F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")]
+    for i in range(len(columns)):
+        exprs += [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"), F.min(f"lo{i}").cast("string").alias(f"lo{i}"), F.max(f"hi{i}").cast("string").alias(f"hi{i}")]
     entries = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.col("__rows").alias("row_count"),
-            (F.col("__rows") - F.col(f"n{i}")).alias("null_count"),
+            F.col("rows").alias("row_count"),
+            (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
             F.col(f"lo{i}").alias("min_value"),
             F.col(f"hi{i}").alias("max_value"),
         )
-        for i, c in enumerate(df.columns)
+        for i, c in enumerate(columns)
     ]
-    return one_row.select(F.inline(F.array(*entries)))
+    return parts.agg(*exprs).select(F.inline(F.array(*entries)))
 
 
 def row_summary(input_rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

@@ -393,3 +393,19 @@ ORACLE.update({
     "refresh_then_increment_zone": sql_daily_zone(),
     "refresh_then_increment_service": sql_daily_service(),
 })
+
+COUNT_VALID = "(SELECT count(*) FROM valid)"
+ORACLE.update({
+    "files_to_land": ORACLE["new_partitions_only"].replace("count(*) AS rows", "CAST(count(*) AS BIGINT) AS rows"),
+    "profile_by_day": with_ctes("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM valid" for c in CURATED_OUT), RAW_CTE, CURATED_CTE, VALID_CTE),
+    "curated_mixed_types": VALID_ROWS,
+    "partition_discovery": with_ctes("SELECT DISTINCT year, month FROM raw_trips", RAW_CTE),
+    "written_compression": with_ctes("SELECT 'snappy' AS codec, count(*) AS rows FROM valid", RAW_CTE, CURATED_CTE, VALID_CTE),
+    "processing_stamp": with_ctes("SELECT count(*) AS rows, count(*) AS stamped, CAST(1 AS BIGINT) AS stamps FROM valid", RAW_CTE, CURATED_CTE, VALID_CTE),
+    "empty_input": with_ctes(
+        "SELECT job, outcome, " + COUNT_VALID + " AS curated_rows FROM (VALUES ('curate, full', 'EmptyInputError'), "
+        "('marts of a month without trips', 'EmptyInputError'), ('curate, increment', '0 batches'), ('marts, increment', '0 batches')) AS t(job, outcome)",
+        RAW_CTE, CURATED_CTE, VALID_CTE),
+})

@@ -18,7 +18,7 @@ from tripmart.operators.curate import curate_trips
 from tripmart.operators.enrich import check_zones
 from tripmart.operators.quality import all_rules, passes
 from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_PARTITIONS
-from tripmart.session import prepare, work_dir
+from tripmart.session import with_job_settings, work_dir
 from tripmart.sinks import write_table
 from tripmart.sinks.fs import children, exists, remove
 from tripmart.sinks.publish import Publication, last_record
@@ -82,6 +82,7 @@ def curate_and_validate(raw: DataFrame | list[DataFrame], obs: Observation, use_
     return counted.where(all_rules())
 
 
+@with_job_settings
 def build_curated(
     spark: SparkSession,
     raw_root: str,
@@ -90,7 +91,6 @@ def build_curated(
     raw: DataFrame | None = None,
 ) -> StepReport:
     """Full rebuild of the curated table (replaces it), partitioned y/m/d."""
-    prepare(spark)
     guard_layout(spark, out, incremental=False)
     raw = raw_scans(spark, raw_root, (CBD_FEE,) if use_cbd_fee else ()) if raw is None else [raw]
     if all(r.isEmpty() for r in raw):
@@ -102,6 +102,7 @@ def build_curated(
     return StepReport(m["input_rows"], {"curated_trips": m["valid_rows"]})
 
 
+@with_job_settings
 def build_aggregates(
     spark: SparkSession,
     curated_root: str,
@@ -129,7 +130,6 @@ def build_aggregates(
     executor never forces a rescan of the input) and every mart is rolled
     up from them.
     """
-    prepare(spark)
     target = month_target(year, month)
     from_path = curated is None
     if from_path:

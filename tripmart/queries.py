@@ -8,9 +8,10 @@ made comparable with the SQL oracle by casting instants to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -286,8 +287,6 @@ def q_scan_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scan_catalog_table")
 def q_scan_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
     from tripmart.schemas import RAW_LANDED
     from tripmart.sources.tables import register_table, scan_catalog_table
 
@@ -433,13 +432,14 @@ def q_chained_run_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("pipeline_summary")
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the written tables: counted from their files, nothing is computed again."""
+    """Rows of the written tables: told by their files' footers, no column is read."""
     from tripmart.operators.reports import row_summary
-    from tripmart.sources.tables import scan_curated
+    from tripmart.sources.tables import metadata_session, scan_curated
 
     cur, out = chained_roots(spark, sf_dir)
-    written = scan_curated(spark, cur)
-    return row_summary(written, {"curated_trips": written, **{n: spark.read.parquet(f"{out}/{n}") for n in marts.MARTS}})
+    footers = metadata_session(spark)
+    written = scan_curated(footers, cur)
+    return row_summary(written, {"curated_trips": written, **{n: footers.read.parquet(f"{out}/{n}") for n in marts.MARTS}})
 
 
 @register("curated_other_types")
@@ -526,15 +526,16 @@ def q_shared_scan_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- increments over a landing that changes, mixed with a month's refresh ---------
 
-def relanded_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Curated table and marts after months were landed wrongly, landed again, refreshed and increased."""
+def relanded_roots(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Landing, curated table, marts, profile and checkpoints after months were landed wrongly, landed again, refreshed and increased."""
     from tripmart.plans.jobs import build_aggregates
     from tripmart.sources.landing import land_raw
-    from tripmart.streaming.incremental import refresh_aggregates, refresh_all, refresh_curated
+    from tripmart.streaming.incremental import refresh_all, refresh_curated
+    from tripmart.streaming.profiles import refresh_profile
 
     def make():
-        names = ("raw", "curated", "curated-ckpt", "marts", "marts-ckpt")
-        landing, cur, cur_ck, out, out_ck = (work_dir(spark, f"relanded-{n}") for n in names)
+        roots = {n: work_dir(spark, f"relanded-{n}") for n in ("raw", "curated", "curated-ckpt", "marts", "marts-ckpt", "profile")}
+        landing, cur, cur_ck, out, out_ck, by_day = roots.values()
         r, z = raw(spark, sf_dir), zones(spark, sf_dir)
         again = (F.col("year") == int(TARGET_YEAR)) & (F.col("month") <= int(TARGET_MONTH))
         # Some months are landed with trips that end up elsewhere, on other days or not at all ...
@@ -543,12 +544,14 @@ def relanded_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         some = r.where(~again).unionByName(r.where(again & (F.dayofmonth("pickup_datetime") % 3 > 0)).withColumns(wrong))
         land_raw(some, landing)
         refresh_all(spark, landing, z, cur, cur_ck, out, out_ck)
+        refresh_profile(spark, cur, by_day)
         # ... and again as they are. The marts of one of them are refreshed before the increment.
         land_raw(r.where(again), landing, mode="dynamic")
         refresh_curated(spark, landing, cur, cur_ck)
         build_aggregates(spark, cur, z, out, TARGET_YEAR, TARGET_MONTH)
-        refresh_aggregates(spark, cur, z, out, out_ck)
-        return cur, out
+        refresh_all(spark, landing, z, cur, cur_ck, out, out_ck)
+        refresh_profile(spark, cur, by_day)
+        return roots
 
     return _memo(spark, sf_dir, "relanded", make)
 
@@ -557,19 +560,126 @@ def relanded_roots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def q_relanded_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.streaming.incremental import read_curated
 
-    return comparable(read_curated(spark, relanded_roots(spark, sf_dir)[0]))
+    return comparable(read_curated(spark, relanded_roots(spark, sf_dir)["curated"]))
 
 
 @register("refresh_then_increment_borough")
 def q_refresh_then_increment_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)[1]}/daily_borough")
+    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)['marts']}/daily_borough")
 
 
 @register("refresh_then_increment_zone")
 def q_refresh_then_increment_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)[1]}/daily_zone")
+    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)['marts']}/daily_zone")
 
 
 @register("refresh_then_increment_service")
 def q_refresh_then_increment_service(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)[1]}/daily_service")
+    return spark.read.parquet(f"{relanded_roots(spark, sf_dir)['marts']}/daily_service")
+
+
+# ---- file-grain landing, profiles by day, and what jobs promise besides their rows ----
+
+@register("files_to_land")
+def q_files_to_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose rows are not landed, whatever their names, by month."""
+    from tripmart.sources.landing import files_to_land
+    from tripmart.sources.tables import scan_raw
+
+    already = scan_raw(spark, landed_first_wave_root(spark, sf_dir))
+    offered = files_to_land(landed(spark, sf_dir), already, by="content")
+    return offered.groupBy("year", "month").agg(F.sum("rows").alias("rows"))
+
+
+@register("profile_by_day")
+def q_profile_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table's profile from parts made in two steps, the second reading only the days that changed."""
+    from tripmart.streaming.profiles import read_profile
+
+    return read_profile(spark, relanded_roots(spark, sf_dir)["profile"])
+
+
+@register("curated_mixed_types")
+def q_curated_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rows of one landing whose years differ in types: as declared, bigint and decimal, times as text."""
+    from tripmart.plans.jobs import curate_and_validate
+    from tripmart.sources.landing import land_raw
+    from tripmart.sources.mixed import raw_scans
+
+    def make():
+        root = work_dir(spark, "landing-mixed")
+        r = raw(spark, sf_dir)
+        kind = F.col("year") % 3
+        ids = {c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")}
+        money = {c: F.col(c).cast("decimal(18,6)") for c in ("base_passenger_fare", "bcf", "congestion_surcharge", "airport_fee")}
+        times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime")}
+        land_raw(r.where(kind == 0), root, mode="dynamic")
+        land_raw(r.where(kind == 1).withColumns({**ids, **money}), root, mode="dynamic")
+        land_raw(r.where(kind == 2).withColumns(times), root, mode="dynamic")
+        return root
+
+    scans = raw_scans(prepare(spark), _memo(spark, sf_dir, "landing-mixed", make))
+    return comparable(curate_and_validate(scans, Observation("mixed")))
+
+
+@register("partition_discovery")
+def q_partition_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions that the catalog found under the landing's path."""
+    from tripmart.schemas import RAW_LANDED
+    from tripmart.sources.tables import register_table
+
+    def make():
+        name = f"tripmart_found_{uuid.uuid4().hex[:10]}"
+        register_table(spark, name, landed_root(spark, sf_dir), RAW_LANDED, ["year", "month"])
+        return name
+
+    parts = F.split("partition", "/")
+    found = spark.sql(f"SHOW PARTITIONS {_memo(spark, sf_dir, 'found-table', make)}")
+    return found.select(*[F.split(F.get(parts, F.lit(i)), "=")[1].cast("int").alias(c) for i, c in enumerate(("year", "month"))])
+
+
+@register("written_compression")
+def q_written_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the curated table by the codec that its files are named for."""
+    from tripmart.sources.tables import scan_curated
+
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z0-9]+)\.parquet$", 1)
+    return scan_curated(spark, curated_root(spark, sf_dir)).select(codec.alias("codec")).groupBy("codec").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("processing_stamp")
+def q_processing_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rows, and those stamped with one time between the job's start and its files' own times."""
+    from tripmart.sources.tables import scan_curated
+
+    rows = scan_curated(spark, curated_root(spark, sf_dir)).select("processing_timestamp", F.col("_metadata.file_modification_time").alias("written"))
+    stamped = F.col("processing_timestamp").between(F.col("written") - F.expr("INTERVAL 1 DAY"), F.col("written") + F.expr("INTERVAL 1 SECOND"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(stamped).alias("stamped"), F.count_distinct("processing_timestamp").alias("stamps"))
+
+
+@register("empty_input")
+def q_empty_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What full jobs and increments make of input without rows or without news, with the rows they leave alone."""
+    from tripmart.plans.jobs import EmptyInputError, build_aggregates, build_curated
+    from tripmart.sources.tables import scan_curated
+    from tripmart.streaming.incremental import refresh_aggregates, refresh_curated
+
+    def outcome(job) -> str:
+        try:
+            return f"{len(job())} batches"
+        except EmptyInputError:
+            return "EmptyInputError"
+
+    def make():
+        z, none, out = zones(spark, sf_dir), raw(spark, sf_dir).where(F.lit(False)), work_dir(spark, "empty-input")
+        landing, cur, cur_ck, marts_root, marts_ck, _ = relanded_roots(spark, sf_dir).values()
+        return [
+            ("curate, full", outcome(lambda: build_curated(spark, landing, f"{out}/curated", raw=none))),
+            ("marts of a month without trips", outcome(lambda: build_aggregates(spark, cur, z, f"{out}/marts", 1900, 1))),
+            ("curate, increment", outcome(lambda: refresh_curated(spark, landing, cur, cur_ck))),
+            ("marts, increment", outcome(lambda: refresh_aggregates(spark, cur, z, marts_root, marts_ck))),
+        ]
+
+    outcomes = spark.createDataFrame(_memo(spark, sf_dir, "empty-input", make), "job string, outcome string")
+    kept = scan_curated(spark, relanded_roots(spark, sf_dir)["curated"]).agg(F.count(F.lit(1))).scalar()
+    return outcomes.select("job", "outcome", kept.alias("curated_rows"))

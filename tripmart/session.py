@@ -7,6 +7,7 @@ none gets a fresh temporary one on a local master, and is refused elsewhere.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -50,6 +51,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def with_job_settings(job):
+    """A job (its first argument is the session) that runs under the settings it relies on and gives the caller's back."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        before = {k: spark.conf.get(k, None) for k in SESSION_CONF}
+        prepare(spark)
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
+    return run
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory named by the session.
 

@@ -12,6 +12,12 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Hadoop gives it."""
+    fs, p = _fs_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and is not an empty directory."""
     fs, p = _fs_path(spark, path)

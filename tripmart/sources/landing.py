@@ -79,13 +79,35 @@ def landed_files(table: DataFrame) -> DataFrame:
     ).groupBy(*MONTH_KEYS, "file_name").agg(F.max("file_size").alias("file_size"), F.count(F.lit(1)).alias("rows"))
 
 
-def files_to_land(source: DataFrame, landed: DataFrame) -> DataFrame:
-    """Files offered by ``source`` whose key (month and name) is not landed yet.
+def landed_contents(table: DataFrame) -> DataFrame:
+    """``landed_files`` with a digest of each file's rows, the same in any order and for any number of row groups.
 
-    A month that is landed in part still yields its other files. Both sides
-    must be file scans, laid out by month.
+    Sum and exclusive-or of the rows' hashes: equal rows count as often as they stand there.
     """
-    return landed_files(source).join(landed_files(landed).select(*MONTH_KEYS, "file_name"), [*MONTH_KEYS, "file_name"], "left_anti")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    columns = [F.col(f"`{c}`") for c in sorted(table.columns) if c not in MONTH_KEYS]
+    row = F.xxhash64(*columns)
+    hashed = table.select(*MONTH_KEYS, name.alias("file_name"), F.col("_metadata.file_size").alias("file_size"), row.alias("h"))
+    digest = F.concat_ws("-", F.sum(F.col("h").cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64("h")).cast("string"))
+    return hashed.groupBy(*MONTH_KEYS, "file_name").agg(
+        F.max("file_size").alias("file_size"), F.count(F.lit(1)).alias("rows"), digest.alias("digest"))
+
+
+#: What makes a file the same as a landed one of its month.
+SAME_FILE = {"name": ["file_name"], "content": ["rows", "digest"], "both": ["file_name", "rows", "digest"]}
+
+
+def files_to_land(source: DataFrame, landed: DataFrame, by: str = "name") -> DataFrame:
+    """Files offered by ``source`` that are not landed yet.
+
+    ``by``: a file is known by its ``name``, by its ``content`` (whatever its name), or by ``both``, so that one
+    published again under its name with other rows is offered again. A
+    month that is landed in part still yields its other files. Both sides
+    must be file scans, laid out by month; names alone are told from their listing.
+    """
+    files = landed_files if by == "name" else landed_contents
+    keys = [*MONTH_KEYS, *SAME_FILE[by]]
+    return files(source).join(files(landed).select(*keys), keys, "left_anti")
 
 
 def landing_manifest(landed: DataFrame, time_column: str = "pickup_datetime") -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
@@ -86,8 +87,8 @@ def raw_scans(spark: SparkSession, root: str, extra: tuple[StructField, ...] = (
 
     try:
         found = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*(map(unquote, paths) if paths else [root])).schema
-    except PySparkException as e:
-        if e.getCondition() == EMPTY:
+    except (PySparkException, Py4JJavaError) as e:  # what a job of the listing raises may come unconverted
+        if EMPTY in str(e):
             return [scan(_declared(None, extra), paths)]
         if NOT_MERGED not in str(e):
             raise
@@ -99,7 +100,4 @@ def raw_scans(spark: SparkSession, root: str, extra: tuple[StructField, ...] = (
 
 
 def _parsed(types: str) -> StructType:
-    found = StructType()
-    for name, kind in json.loads(types).items():
-        found.add(name, kind)
-    return found
+    return StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in json.loads(types).items()))

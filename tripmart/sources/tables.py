@@ -101,3 +101,14 @@ def register_table(
 
 def scan_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def metadata_session(spark: SparkSession) -> SparkSession:
+    """A session whose parquet scans answer count, min and max from the files' footers, without reading columns.
+
+    Of the same application; tables are read in it by path.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session

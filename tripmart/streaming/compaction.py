@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tripmart.plans.jobs import guard_layout
 from tripmart.schemas import BATCH_COLUMN, CURATED_PARTITIONS
-from tripmart.session import prepare
+from tripmart.session import with_job_settings
 from tripmart.sinks.publish import Publication
 from tripmart.sources.states import STAND_IN_SCHEMA, STAND_INS, Day, day_files, days_of
 from tripmart.streaming.incremental import CURATED_SOURCED, partitions_in
@@ -63,9 +63,9 @@ def days_on_disk(spark: SparkSession, out: str) -> list[DayFiles]:
     return [DayFiles((r.year, r.month, r.day), r.files, r.bytes, r.state, tuple(sorted(r.folders))) for r in rows.collect()]
 
 
+@with_job_settings
 def compact_curated(spark: SparkSession, out: str, target: int = TARGET_BYTES, round_bytes: int = ROUND_BYTES, slack: float = SLACK) -> list[int]:
     """Rewrite the days with too many files; returns how many days each publication rewrote."""
-    prepare(spark)
     guard_layout(spark, out, incremental=True)
     return [_rewrite(spark, out, days) for days in plan(days_on_disk(spark, out), target, round_bytes, slack)]
 

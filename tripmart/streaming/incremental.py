@@ -32,9 +32,9 @@ from tripmart.operators import marts
 from tripmart.operators.enrich import check_zones
 from tripmart.plans.jobs import CUBE_DIR, TableOwnedError, curate_and_validate, guard_layout, guard_marts
 from tripmart.schemas import BATCH_COLUMN, CBD_FEE, CURATED_ANY_LAYOUT, CURATED_PARTITIONS
-from tripmart.session import prepare, work_dir
+from tripmart.session import with_job_settings, work_dir
 from tripmart.sinks import write_table
-from tripmart.sinks.fs import children, exists, has_files
+from tripmart.sinks.fs import children, exists, has_files, remove
 from tripmart.sinks.publish import Publication, is_published, recover
 from tripmart.sources.ledger import (
     FILE,
@@ -108,6 +108,7 @@ def _run(stream: DataFrame, fn, checkpoint: str) -> None:
         raise query.exception()
 
 
+@with_job_settings
 def refresh_curated(
     spark: SparkSession,
     raw_root: str,
@@ -122,13 +123,22 @@ def refresh_curated(
     files are curated in bounded batches, and files that the stream
     passes over (a known name with other contents) are curated as a correction.
     """
-    prepare(spark)
     guard_layout(spark, out, incremental=True)
     guard_checkpoint(spark, out, checkpoint)
     recover(spark, out)
     guard_ledger(spark, out)
-    listed = _kept(listed_files(spark, raw_root), "landing-listed")
-    take_back(spark, listed, out)
+    scratch = work_dir(spark, "landing-compared")
+    try:
+        listed = _kept(listed_files(spark, raw_root), f"{scratch}/listed")
+        take_back(spark, listed, out, f"{scratch}/gone")
+        return _take_new(spark, raw_root, listed, out, checkpoint, use_cbd_fee, max_files_per_trigger, f"{scratch}/rest")
+    finally:
+        remove(spark, scratch)
+
+
+def _take_new(spark: SparkSession, raw_root: str, listed: DataFrame, out: str, checkpoint: str, use_cbd_fee: bool,
+              max_files_per_trigger: int, scratch: str) -> list[dict]:
+    """Curate what the stream finds new, and then what it passed over."""
     reports: list[dict] = []
     # The stream is one of the files' listing: it tells which are new, and their contents are read by a scan.
     stream = (
@@ -145,7 +155,7 @@ def refresh_curated(
             reports.append(_publish_curated(spark, raw_root, df.collect(), out, use_cbd_fee, batch_id, key))
 
     _run(stream, batch, checkpoint)
-    rest = _kept(files_not_taken(live_files(spark, out), listed), "landing-rest").collect()
+    rest = _kept(files_not_taken(live_files(spark, out), listed), scratch).collect()
     for i in range(0, len(rest), max_files_per_trigger):
         reports.append(_publish_curated(spark, raw_root, rest[i:i + max_files_per_trigger], out, use_cbd_fee))
     return reports
@@ -157,9 +167,8 @@ def guard_ledger(spark: SparkSession, out: str) -> None:
         raise TableOwnedError(f"{out} holds batches without a ledger of their files; rebuild it into another folder")
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def _kept(df: DataFrame, path: str) -> DataFrame:
     """Written once, so that later steps see the same rows."""
-    path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -194,14 +203,14 @@ def _publish_entries(pub: Publication, entries: DataFrame, out: str) -> None:
     pub.write(entries.select(*FILE, BATCH_COLUMN, "live", F.lit(generation).alias("generation")), LEDGER, ["generation"], mode="dynamic")
 
 
-def take_back(spark: SparkSession, listed: DataFrame, out: str) -> int:
-    """Remove the rows of raw files that are gone or no longer the same; returns how many files.
+def take_back(spark: SparkSession, listed: DataFrame, out: str, scratch: str) -> int:
+    """Remove the rows of raw files that are not ``listed`` any more, or not the same; returns how many files.
 
     Only the day partitions that hold such rows are written again, without them. They, the days
     that lose all rows and the ledger's tombstones are published at once, so a
     cut short run leaves the table as it was, and the next one takes them back.
     """
-    gone = _kept(gone_files(live_files(spark, out), listed), "landing-gone")
+    gone = _kept(gone_files(live_files(spark, out), listed), scratch)
     if gone.isEmpty():
         return 0
     rows = spark.read.schema(CURATED_SOURCED).parquet(out)
@@ -263,6 +272,7 @@ def partitions_in(names: list[str], values: Iterable[tuple]) -> Column:
     return key.isin(sorted(numbers))
 
 
+@with_job_settings
 def refresh_aggregates(
     spark: SparkSession,
     curated_root: str,
@@ -281,7 +291,6 @@ def refresh_aggregates(
     """
     if on_touch not in ("recompute", "append"):
         raise ValueError(f"on_touch must be 'recompute' or 'append', got {on_touch!r}")
-    prepare(spark)
     zone_rows = check_zones(zones)
     if on_touch == "append":
         guard_checkpoint(spark, out_root, checkpoint)
