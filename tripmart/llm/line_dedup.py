@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import SPACES, get_file, lower_ascii, put_file, stored
-from tripmart.session import work_dir
+from tripmart.llm.common import SPACES, get_file, lower_ascii, put_file, scratch_dir, stored
 
 SHARD_KEYS = 200_000
 #: Bytes of shards a task holds at once.
@@ -120,11 +119,12 @@ def line_keys(text: Column, min_chars: int) -> Column:
     return F.transform(trimmed, lambda k: F.when(F.length(k) >= min_chars, F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit("line"), k).alias("b"))))
 
 
-def build_shards(docs: DataFrame, index_path: str, min_docs: int, min_chars: int) -> int:
-    """Count keys, index those of two documents or more; the number of shards."""
+def build_shards(docs: DataFrame, index_path: str, min_docs: int, min_chars: int) -> tuple[int, set[int]]:
+    """Count keys, index those of ``min_docs`` documents or more; the number of shards, and those that hold keys."""
     keys = docs.select(F.explode(F.array_distinct(line_keys(F.col("text").cast("string"), min_chars))).alias("k")).where("k is not null")
-    counts = stored(keys.groupBy("k.a", "k.b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(2, min_docs)), "line_counts")
-    shards = max(1, -(-counts.count() // SHARD_KEYS))
+    counts = stored(keys.groupBy("k.a", "k.b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs), "line_counts")
+    total = counts.count()
+    shards = max(1, -(-total // SHARD_KEYS))
     kind = np.uint8 if min_docs <= 255 else np.uint32
     most = np.iinfo(kind).max
 
@@ -136,13 +136,13 @@ def build_shards(docs: DataFrame, index_path: str, min_docs: int, min_chars: int
         return pd.DataFrame({"shard": df["shard"].iloc[:1], "keys": [len(df)]})
 
     made = counts.withColumn("shard", F.pmod("a", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, "shard int, keys long")
-    written = made.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("n")).first()["n"]
-    if written != counts.count():
+    written = made.collect()  # a row a shard
+    if sum(r["keys"] for r in written) != total:
         raise RuntimeError("the line index is incomplete")
-    return shards
+    return shards, {r["shard"] for r in written}
 
 
-def _probe(index_path: str, shards: int, min_docs: int):
+def _probe(index_path: str, shards: int, filled: set[int], min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: OrderedDict[int, PerfectHash | None] = OrderedDict()
         size = 0
@@ -150,7 +150,9 @@ def _probe(index_path: str, shards: int, min_docs: int):
         def shard(s: int) -> PerfectHash | None:
             nonlocal size
             if s not in held:
-                data = get_file(f"{index_path}/shard-{s:06d}.npz")
+                data = get_file(f"{index_path}/shard-{s:06d}.npz") if s in filled else None
+                if data is None and s in filled:
+                    raise FileNotFoundError(f"shard {s} of the line index is not in {index_path}: is the folder shared by all executors?")
                 held[s] = PerfectHash.from_bytes(data) if data else None
                 size += held[s].nbytes() if held[s] else 0
                 while size > HELD_BYTES and len(held) > 1:
@@ -191,8 +193,8 @@ def _probe(index_path: str, shards: int, min_docs: int):
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines kept) per row of docs (doc_id, text)."""
-    index_path = work_dir(docs.sparkSession, "line_index")
-    shards = build_shards(docs, index_path, min_docs, min_chars)
+    index_path = scratch_dir(docs.sparkSession, "line_index")
+    shards, filled = build_shards(docs, index_path, min_docs, min_chars)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), line_keys(F.col("text").cast("string"), min_chars).alias("keys"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_probe(index_path, shards, min_docs), f"doc_id {kind}, n_lines long, n_dropped long, text string")
+    return rows.mapInArrow(_probe(index_path, shards, filled, min_docs), f"doc_id {kind}, n_lines long, n_dropped long, text string")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import connected_components, lower_ascii
+from tripmart.llm.common import connected_components, lower_ascii, stored
 
 # The rules of the registered query (host, path prefix, verdict).
 RULES = [
@@ -60,13 +60,24 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
 
 
 def node_of(url: Column) -> Column:
-    """The URL without scheme, fragment and campaign parameters; null without ``://``."""
-    rest = F.regexp_replace(_rest(url), r"#.*$", "")
+    """The URL without scheme, fragment, dot segments and campaign parameters; null without ``://``."""
+    rest = _without_dots(F.regexp_replace(_rest(url), r"#.*$", ""))
     rest = F.regexp_replace(rest, r"(?i)([?&])utm_[^&]*", "$1")
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(rest, r"\?&+", "?"), r"&&+", "&"), r"[?&]$", "")
     return F.concat(host_of(url), F.regexp_replace(rest, r"^[^/?#]*", ""))
 
 
+def _without_dots(rest: Column) -> Column:
+    """``.`` and ``..`` segments of the path taken out; host and query stay as they are."""
+    path = F.regexp_extract(rest, r"^[^?]*", 0)
+    parts = F.split(path, "/")
+    up = lambda done: F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(x == "..", up(done)).otherwise(F.concat(done, F.array(x))))
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    dotted = path.rlike(r"/\.{1,2}(?:/|$)")
+    return F.when(dotted, F.concat(F.array_join(kept, "/"), F.regexp_replace(rest, r"^[^?]*", ""))).otherwise(rest)
+
+
 def _unescape(c: Column) -> Column:
     return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
@@ -81,6 +92,8 @@ def _resolve(base: Column, target: Column) -> Column:
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^[^:/?#]+:", 0), target))
         .when(target.startswith("/"), F.concat(root, target))
+        .when(target.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), target))
+        .when(target.startswith("#"), None)
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
         .otherwise(F.concat(folder, F.lit("/"), target))
     )
@@ -100,7 +113,8 @@ def link_edges(pages: DataFrame) -> DataFrame:
     canonical = tags.where(F.col("tag").rlike(r"(?i)^<link\b") & F.array_contains(F.split(F.lower(value(F.col("tag"), "rel")), r"\s+"), "canonical"))
     refresh = tags.where(F.col("tag").rlike(r"(?i)^<meta\b") & (F.lower(value(F.col("tag"), "http-equiv")) == "refresh"))
     sent = F.regexp_extract(value(F.col("tag"), "content"), r"""(?i)^\s*[\d.]*\s*[;,]?\s*url\s*=\s*["']?([^"']*)""", 1)
-    edges = canonical.select("url", value(F.col("tag"), "href").alias("to")).union(refresh.select("url", sent.alias("to")))
+    # written: what reads the pages and what resolves the links are too much code for one generated class
+    edges = stored(canonical.select("url", value(F.col("tag"), "href").alias("to")).union(refresh.select("url", sent.alias("to"))), "url_links")
     return edges.select(F.col("url").alias("u"), _resolve(F.col("url"), F.col("to")).alias("v")).where("v is not null")
 
 
@@ -114,9 +128,9 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redi
     edges = link_edges(df)
     if redirects is not None:
         edges = edges.union(redirects.select("u", "v"))
-    edges = edges.select(
+    edges = stored(edges.select(
         node_of(F.col("u")).alias("u"), node_of(F.col("v")).alias("v"),
-        *[rule_of(host_of(F.col(c)), path_of(F.col(c)), rules)["verdict"].alias(f"{c}_verdict") for c in ("u", "v")])
+        *[rule_of(host_of(F.col(c)), path_of(F.col(c)), rules)["verdict"].alias(f"{c}_verdict") for c in ("u", "v")]), "url_edges")
     members = connected_components(edges, "url_aliases")
     # every URL on an edge speaks for its component, the targets without a page too
     said = edges.select(F.col("u").alias("node"), F.col("u_verdict").alias("said")).union(edges.select("v", "v_verdict")).where("said is not null")
