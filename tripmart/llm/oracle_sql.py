@@ -89,9 +89,34 @@ subroots AS (SELECT tree AS of, d AS subroot, '' AS tree, row_number() OVER (ORD
 SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified
 FROM top_up_{HEIGHTS} JOIN (SELECT d FROM top_{HEIGHTS}) root ON true"""
 
+#: Shards, virtual slots, and the CRC-32 of a list of bytes by the table of its 256 remainders.
+SHARDS, SLOTS = 8, 8192
+REMAINDERS = "list_transform(range(0, 256), lambda i: list_reduce(list_concat([i], range(0, 8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+SHARDING = f"""
+WITH RECURSIVE remainders AS (SELECT {REMAINDERS} AS t),
+texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (SELECT doc_id, size, xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(range(0, length(h) // 2), lambda i: (('0x' || substr(h, 2 * i + 1, 2))::BIGINT))),
+  lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM texts, remainders),
+rows AS (SELECT *, CAST(('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), '-'), text_crc32)), 1, 8))::BIGINT % {SLOTS} AS INTEGER) AS virtual_slot FROM summed),
+slots AS (SELECT virtual_slot AS v, virtual_slot % {SHARDS} AS s, sum(size) AS b FROM rows GROUP BY virtual_slot),
+held AS (SELECT *, sum(b) OVER (PARTITION BY s ORDER BY b DESC, v) <= (SELECT sum(b) FROM slots) / {SHARDS} AS stays FROM slots),
+pool AS (SELECT v, b, row_number() OVER (ORDER BY b DESC, v DESC) AS k FROM held WHERE NOT stays),
+dealt AS (
+  SELECT 0::BIGINT AS k, NULL::INTEGER AS v, NULL::BIGINT AS s, list_transform(range(0, {SHARDS}), lambda i: coalesce(loads[i], 0::HUGEINT)) AS l
+  FROM (SELECT map_from_entries(list((s::BIGINT, b))) AS loads FROM (SELECT s, sum(b) AS b FROM held WHERE stays GROUP BY s))
+  UNION ALL
+  SELECT p.k, p.v, list_position(l, list_min(l)) - 1, list_transform(l, lambda x, i: CASE WHEN i = list_position(l, list_min(l)) THEN x + p.b ELSE x END)
+  FROM dealt d JOIN pool p ON p.k = d.k + 1),
+mapped AS (SELECT v, s FROM held WHERE stays UNION ALL SELECT v, s FROM dealt WHERE v IS NOT NULL)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(s AS INTEGER) AS shard, row_number() OVER (PARTITION BY s ORDER BY virtual_slot, doc_id NULLS FIRST) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard, virtual_slot
+FROM rows JOIN mapped ON v = virtual_slot"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_exact_dedup": EXACT_DEDUP,
     "op10_minhash_dedup": NEAR_DEDUP,
     "op11_merkle_manifest": MERKLE,
+    "op13_slot_sharding": SHARDING,
 }
