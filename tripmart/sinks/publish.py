@@ -14,8 +14,8 @@ first.  Every move can be repeated.
   committed stays known, and ``is_published`` tells before any work is done.
 
 The tables keep their plain partitioned layout, so any reader of
-parquet folders sees them.  Moves are renames of directories: one for a whole
-table, one for each replaced partition.
+parquet folders sees them.  Moves are renames of directories: one for a whole table or a
+month or batch that is new, one for each replaced partition.
 """
 
 from __future__ import annotations
@@ -54,6 +54,25 @@ def last_record(spark: SparkSession, root: str) -> dict | None:
     return _record(spark, root, _last(spark, root))
 
 
+def _folders_to_move(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Staged partition folders to move: as high up as the target has none of their name, else the partitions themselves."""
+    found: list[str] = []
+
+    def walk(part: str) -> None:
+        below = sorted(n for n in children(spark, _join(source, part)) if "=" in n and not n.startswith(("_", ".")))
+        if part and not below:
+            found.append(part)
+        for name in below:
+            inner = _join(part, name)
+            if exists(spark, _join(target, inner)):
+                walk(inner)
+            else:
+                found.append(inner)
+
+    walk("")
+    return found
+
+
 def _apply(spark: SparkSession, root: str, record: dict) -> None:
     """Move what a committed publication staged into place; what is moved already is passed over."""
     stage = f"{root}/{STAGED}/{record['stage']}"
@@ -67,7 +86,7 @@ def _apply(spark: SparkSession, root: str, record: dict) -> None:
         if mode == "overwrite":
             parts = [""]
         elif mode == "dynamic":
-            parts = sorted({f.rpartition("/")[0] for f in files_below(spark, source)})
+            parts = _folders_to_move(spark, source, target)
         else:
             parts = files_below(spark, source)
         for part in parts:
