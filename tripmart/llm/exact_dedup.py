@@ -4,9 +4,9 @@
    group that fills a third of the table reaches the index as a few rows.
 2. The 64-bit hash space is cut into equal key ranges. An owner task takes the
    ranges dealt to it, sorted by hash, and fills an extendible-hash index for
-   each: a bucket that holds more than its capacity splits, and the directory
-   doubles when the bucket is as deep as the directory. Equal hashes are
-   chained; each chain entry is one text, told apart by comparing bytes.
+   each: a text is looked up in its bucket, where texts of equal hash are chained and told
+   apart by comparing bytes, and counted there or added. A bucket that holds more than its capacity splits,
+   and the directory doubles when the bucket is as deep as the directory.
 3. A finished range is written to the shared folder (one file of buckets with
    its directory), and its entries become rows. Documents take their answer
    by the text's SHA-256 and length; only groups over a fixed share of all
@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import get_file, join_hot, put_file
-from tripmart.session import work_dir
+from tripmart.llm.common import get_file, join_hot, put_file, scratch_dir
+from tripmart.sinks.fs import qualified
 
 BUCKET_ROWS = 512
 #: Rows of text a map task holds before it passes on what it has joined.
@@ -50,10 +50,32 @@ class ExtendibleIndex:
         self.skip, self.capacity, self.depth = skip_bits, capacity, 0
         self.buckets: list[tuple[int, list[list]]] = [(0, [])]
         self.directory = [0]
+        self.chain: tuple[int | None, list[str]] = (None, [])
 
     def slot(self, h: int) -> int:
         return ((h << self.skip) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.depth) if self.depth else 0
 
+    def add(self, h: int, text: str, keep_id: int | None, size: int) -> None:
+        """Count a text in its bucket: with the entry of its hash whose bytes are the same, or as a new one.
+
+        Texts come in the order of their hashes: a chain is the end of its bucket, and only its texts are held.
+        """
+        if self.chain[0] != h:
+            self.chain = (h, [])
+        for e in reversed(self.buckets[self.directory[self.slot(h)]][1]):
+            if e[0] != h:
+                break
+            if self.chain[1][e[4]] == text:  # strings of one encoding: the same bytes
+                e[2] = keep_id if e[2] is None else e[2] if keep_id is None else max(e[2], keep_id)
+                e[3] += size
+                return
+        self.insert([h, hashlib.sha256(text.encode()).digest(), keep_id, size, len(self.chain[1])])
+        self.chain[1].append(text)
+
+    def entries(self) -> Iterator[list]:
+        for _, bucket in self.buckets:
+            yield from bucket
+
     def insert(self, entry: list) -> None:
         at = self.directory[self.slot(entry[0])]
         self.buckets[at][1].append(entry)
@@ -137,50 +159,24 @@ def _owner(index_path: str, range_bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: ExtendibleIndex | None = None
         now: int | None = None
-        chain: list[tuple[str, list]] = []
-        out: list[tuple] = []
-
-        def end_chain() -> None:
-            for i, (_, e) in enumerate(chain):
-                index.insert([*e, i])
-                out.append((e[1].hex(), e[2], e[3], i))
-            chain.clear()
 
-        def end_range() -> None:
+        def finished() -> pd.DataFrame:
+            """The range's index goes to the shared folder, and its entries become rows."""
+            rows = []
             if index is not None:
                 put_file(f"{index_path}/range-{now:08d}.arrow", index.to_bytes())
+                rows = [(e[1].hex(), e[2], e[3], e[4]) for e in index.entries()]
+            return pd.DataFrame(rows, columns=["sha", "keep_id", "size", "chain"]).astype({"keep_id": "Int64"})
 
-        def rows() -> pd.DataFrame:
-            df = pd.DataFrame(out, columns=["sha", "keep_id", "size", "chain"]).astype({"keep_id": "Int64"})
-            out.clear()
-            return df
-
-        last = None
         for b in batches:
             for h, text, keep, size in zip(b["h"].tolist(), b["text"].tolist(), b["keep_id"].astype("Int64").tolist(), b["size"].tolist()):
-                keep = None if keep is pd.NA else keep
                 u = h & 0xFFFFFFFFFFFFFFFF
                 owner = u >> (64 - range_bits) if range_bits else 0
-                if u != last:
-                    if chain:
-                        end_chain()
-                    if owner != now:
-                        end_range()
-                        index, now = ExtendibleIndex(range_bits), owner
-                    last = u
-                for known, e in chain:
-                    if known == text:  # same bytes: strings of one encoding
-                        e[3] += size
-                        e[2] = keep if e[2] is None else e[2] if keep is None else max(e[2], keep)
-                        break
-                else:
-                    chain.append((text, [u, hashlib.sha256(text.encode()).digest(), keep, size]))
-            if len(out) > 5000:
-                yield rows()
-        if chain:
-            end_chain()
-            end_range()
-        yield rows()
+                if owner != now:
+                    yield finished()
+                    index, now = ExtendibleIndex(range_bits), owner
+                index.add(u, text, None if keep is pd.NA else keep, size)
+        yield finished()
 
     return run
 
@@ -205,8 +201,8 @@ def exact_dedup(docs: DataFrame, index_path: str | None = None, range_bits: int
     spark = docs.sparkSession
     if range_bits is None:
         range_bits = max(2, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    index_path = index_path or work_dir(spark, "exact_index")
-    path = f"{work_dir(spark, 'exact_groups')}/groups.parquet"
+    index_path = qualified(spark, index_path) if index_path else scratch_dir(spark, "exact_index")
+    path = f"{scratch_dir(spark, 'exact_groups')}/groups.parquet"
     build_index(docs, index_path, range_bits).write.parquet(path)
     groups = spark.read.schema("sha string, keep_id long, size long, chain int").parquet(path).select("sha", "keep_id", "size")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256).alias("text_sha256"), *carry)
