@@ -11,7 +11,8 @@ are one class; only classes go on, so groups of copies cost one row.
 2. Within a key's group, signatures and set sizes tell who can't be similar;
    the rest is tied into candidate cells by a spanning forest, never by all
    pairs. Groups beyond BLOCK are tied to their first member untested, which
-   only makes the cell larger. Cells are connected components, found by Spark.
+   only makes the cell larger. So are groups with a row that stands for others of its task, tied to it there:
+   whoever shares a key with them is in their cell. Cells are connected components, found by Spark.
 3. Cells are verified on full sets: documents of a cell are dealt to blocks of
    bounded size, each pair of blocks is one group of rows, and each group
    gives a spanning forest of its true links. Every pair of a cell meets in
@@ -45,7 +46,7 @@ BLOCK = 2048
 #: Bounds of a verified block: documents and shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 2_000_000
 HELD_WORDS = 500_000
-#: A key met more often than this within one task's batch is tied there, and only its first members travel.
+#: Of a key met more often than this within one batch, the further rows are tied to the first one there, which travels for them.
 LOCAL_HOT = 64
 U = np.uint64
 
@@ -120,8 +121,8 @@ def keys_of(sigs: np.ndarray) -> np.ndarray:
 
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per class and key; beyond LOCAL_HOT of a key in a batch, a direct tie to its first member."""
-    names = ["key", "rep", "n", "sig", "tie"]
+    """A row per class and key; beyond LOCAL_HOT of a key in a batch, a direct tie to its first member, which stands for them."""
+    names = ["key", "rep", "n", "sig", "tie", "stands"]
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -135,14 +136,17 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
         hot = np.arange(len(keys)) - start >= LOCAL_HOT
         ties = np.unique(np.stack([rep[who[hot]], rep[who[start[hot]]]], axis=1), axis=0)
+        stands = np.zeros(len(keys), bool)
+        stands[start[hot]] = True
+        stands = stands[~hot]
         short = (sigs >> 8).astype(np.uint8)[who[~hot]]
         for i in range(0, len(short), 50_000):
             w = who[~hot][i:i + 50_000]
             part = np.ascontiguousarray(short[i:i + 50_000])
             blobs = pa.Array.from_buffers(pa.binary(), len(w), [None, pa.py_buffer(np.arange(0, SYMBOLS * (len(w) + 1), SYMBOLS, dtype=np.int32).tobytes()), pa.py_buffer(part.tobytes())])
-            yield pa.record_batch([pa.array(keys[~hot][i:i + 50_000]), pa.array(rep[w]), pa.array(n[w]), blobs, pa.nulls(len(w), pa.int64())], names=names)
+            yield pa.record_batch([pa.array(keys[~hot][i:i + 50_000]), pa.array(rep[w]), pa.array(n[w]), blobs, pa.nulls(len(w), pa.int64()), pa.array(stands[i:i + 50_000])], names=names)
         if len(ties):
-            yield pa.record_batch([pa.array(ties[:, 0]), pa.array(ties[:, 0]), pa.nulls(len(ties), pa.int64()), pa.nulls(len(ties), pa.binary()), pa.array(ties[:, 1])], names=names)
+            yield pa.record_batch([pa.array(ties[:, 0]), pa.array(ties[:, 0]), pa.nulls(len(ties), pa.int64()), pa.nulls(len(ties), pa.binary()), pa.array(ties[:, 1]), pa.array(np.zeros(len(ties), bool))], names=names)
 
 
 def _tie(percent: int):
@@ -171,6 +175,7 @@ def _tie(percent: int):
             rows = batch.filter(pa.array(~direct))
             if rows.num_rows:
                 keys, rep, n = (rows.column(c).to_numpy() for c in ("key", "rep", "n"))
+                stands = rows.column("stands").to_numpy(zero_copy_only=False)
                 sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, SYMBOLS)
                 cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
                 for i, j in zip(cuts[:-1], cuts[1:]):
@@ -179,12 +184,12 @@ def _tie(percent: int):
                             edges += forest(*(np.concatenate(x) for x in zip(*held)))
                         key, held, hub = keys[i], [], None
                         if j < len(keys):
-                            if j - i > BLOCK:
+                            if j - i > BLOCK or stands[i:j].any():
                                 edges += [(int(rep[i]), int(x)) for x in rep[i + 1:j]]
                             elif j - i > 1:
                                 edges += forest(rep[i:j], n[i:j], sig[i:j])
                             continue
-                    if hub is None and sum(len(x[0]) for x in held) + j - i > BLOCK:
+                    if hub is None and (stands[i:j].any() or sum(len(x[0]) for x in held) + j - i > BLOCK):
                         hub = int(held[0][0][0] if held else rep[i])
                         edges += [(hub, int(x)) for h in held for x in h[0]]
                         held = []
@@ -264,7 +269,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, words: int = WORDS) -> DataFr
     classes = signed.where("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("size"))
     classes = stored(classes, "near_classes")
-    keyed = classes.where("rep is not null").select("rep", "n", "sig").mapInArrow(_key_rows, "key long, rep long, n long, sig binary, tie long")
+    keyed = classes.where("rep is not null").select("rep", "n", "sig").mapInArrow(_key_rows, "key long, rep long, n long, sig binary, tie long, stands boolean")
     dealt = keyed.repartition("key").sortWithinPartitions("key")
     cells = stored(connected_components(dealt.mapInArrow(_tie(percent), "u long, v long"), "near_cells"), "near_cells")
     sized = cells.join(classes.select("rep", "n", "set_id"), F.col("node") == F.col("rep")).select("rep", F.col("component").alias("cell"), "n", "set_id")
