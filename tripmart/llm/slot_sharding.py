@@ -25,9 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import scratch_dir, stored
 from tripmart.llm.positions import with_positions
-from tripmart.session import work_dir
 
 SHARDS = 8
 SLOTS = 8192
@@ -105,7 +104,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, folder: str | None = None) -> D
 
     The first map is version 0 under ``folder``; its edit by the slots' bytes, which places the rows, version 1.
     """
-    folder = folder or work_dir(docs.sparkSession, "slot_map")
+    folder = folder or scratch_dir(docs.sparkSession, "slot_map")
     rows = stored(records(docs), "slot_rows")
     first = save_map(first_map(docs.sparkSession, shards), folder, 0)
     edited = save_map(edit_map(first, slot_weights(rows), shards), folder, 1)
