@@ -64,7 +64,9 @@ def edit_map(old: DataFrame, weights: DataFrame, shards: int = SHARDS) -> DataFr
     split = (F.col("bytes") * SPLIT_SHARE > F.col("share")) & (F.col("rows") > SPLIT_ROWS * shards)
     weighed = weighed.withColumn("split", split)
     held = Window.partitionBy("shard").orderBy(F.col("bytes").desc(), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0)
-    whole = weighed.where(~F.col("split")).withColumn("stays", (F.col("shard") < shards) & (F.sum("bytes").over(held) <= F.col("share")))
+    whole = weighed.where(~F.col("split"))
+    room = whole.agg((F.sum("bytes") / shards).alias("room"))  # what split slots hold goes to all shards alike
+    whole = whole.join(F.broadcast(room)).withColumn("stays", (F.col("shard") < shards) & (F.sum("bytes").over(held) <= F.col("room")))
     loads = F.map_from_entries(F.collect_list(F.struct("shard", "load")))
     kept = whole.where("stays").groupBy("shard").agg(F.sum("bytes").alias("load")).agg(loads.alias("loads"))
     pool = F.reverse(F.array_sort(F.collect_list(F.struct("bytes", "virtual_slot"))))
