@@ -7,9 +7,11 @@ none gets a fresh temporary one on a local master, and is refused elsewhere.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -51,21 +53,30 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings for some statements; the caller's are given back."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        if before[k] != v:
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def with_job_settings(job):
     """A job (its first argument is the session) that runs under the settings it relies on and gives the caller's back."""
 
     @functools.wraps(job)
     def run(spark: SparkSession, *args, **kwargs):
-        before = {k: spark.conf.get(k, None) for k in SESSION_CONF}
-        prepare(spark)
-        try:
+        with settings(spark, SESSION_CONF):
             return job(spark, *args, **kwargs)
-        finally:
-            for k, v in before.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
 
     return run
 

@@ -6,13 +6,22 @@ each directory gets few files instead of one per task, and AQE splits a
 partition that is larger than the advisory size (a hot day) across tasks
 and merges small ones.  The write itself is Spark's committer: files
 become visible only when the job commits.
+
+Spark sorts a task's rows by directory before it writes them.  A task that holds up to
+``OPEN_FILES`` directories, as when months are landed, writes
+them side by side instead, without a sort; beyond that Spark sorts the rest.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tripmart.session import settings
+
 MODES = ("overwrite", "append", "dynamic")
+#: Each open file buffers its columns, so these are few.
+OPEN_FILES = 8
+WRITE_CONF = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
 
 
 def write_table(
@@ -40,7 +49,8 @@ def write_table(
         writer = writer.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with settings(df.sparkSession, WRITE_CONF if partition_by else {}):
+        writer.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
