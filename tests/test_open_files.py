@@ -1,4 +1,4 @@
-"""Partitioned writes: few directories side by side without a sort, many by Spark's sort, the same rows either way."""
+"""Partitioned writes: few directories side by side without a sort, many by Spark's sort in bounded pieces, the same rows either way."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from tripmart.sinks import OPEN_FILES, write_table
+from tripmart.session import settings
+from tripmart.sinks import ADVISORY, DEALT, OPEN_FILES, PIECE, write_table
 
 OPEN = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -45,3 +46,35 @@ def test_rows_and_files_are_the_same_for_few_and_many_directories(spark, scratch
     back = spark.read.schema("id long, month int").parquet(f"{scratch}/t")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
     assert len(glob.glob(f"{scratch}/t/month=*/*.parquet")) == len(glob.glob(f"{scratch}/t/month=*")) == directories
+
+
+def _writes(monkeypatch) -> list[tuple[str, str]]:
+    """The largest piece and the plan of each write."""
+    seen, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, *args, **kwargs):
+        seen.append((self._df.sparkSession.conf.get(ADVISORY), self._df._jdf.queryExecution().executedPlan().toString()))
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
+def test_pieces_that_are_sorted_are_bounded_and_a_lesser_bound_stays(spark, scratch, monkeypatch):
+    seen, before = _writes(monkeypatch), spark.conf.get(ADVISORY)
+    rows = spark.range(100).withColumn("month", F.col("id") % 3)
+    for i, size in enumerate(("64MB", "1g", "8m", "1024", "5kb")):
+        with settings(spark, {ADVISORY: size}):
+            write_table(rows, f"{scratch}/{i}", ["month"])
+            assert spark.conf.get(ADVISORY) == size
+    assert [int(s.removesuffix("b")) for s, _ in seen] == [PIECE, PIECE, 8 << 20, 1024, 5 << 10]
+    assert spark.conf.get(ADVISORY) == before
+
+
+def test_rows_are_sent_to_few_partitions_whatever_the_session_has(spark, scratch, monkeypatch):
+    """More than Spark's threshold, and every task sorts its wide rows before it sends them."""
+    seen = _writes(monkeypatch)
+    with settings(spark, {"spark.sql.shuffle.partitions": "1000"}):
+        write_table(spark.range(100).withColumn("month", F.col("id") % 3), f"{scratch}/t", ["month"])
+    threshold = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    assert DEALT <= threshold and f", {DEALT}), REBALANCE_PARTITIONS_BY_COL" in seen[0][1]
