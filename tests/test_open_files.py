@@ -1,15 +1,16 @@
-"""Partitioned writes: few directories side by side without a sort, many by Spark's sort in bounded pieces, the same rows either way."""
+"""Partitioned writes: few directories side by side without a sort, many by Spark's sort in bounded pieces, the same rows either way; their files listed."""
 
 from __future__ import annotations
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from tripmart.session import settings
-from tripmart.sinks import ADVISORY, DEALT, OPEN_FILES, PIECE, write_table
+from tripmart.sinks import ADVISORY, DEALT, OPEN_FILES, PIECE, fs, write_table
 
 OPEN = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -78,3 +79,25 @@ def test_rows_are_sent_to_few_partitions_whatever_the_session_has(spark, scratch
         write_table(spark.range(100).withColumn("month", F.col("id") % 3), f"{scratch}/t", ["month"])
     threshold = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
     assert DEALT <= threshold and f", {DEALT}), REBALANCE_PARTITIONS_BY_COL" in seen[0][1]
+
+
+def test_files_are_listed_without_their_permissions(spark, scratch, monkeypatch):
+    """Asked for a file's status with its places, a local folder starts a process for its permissions."""
+
+    class Quick:
+        def __init__(self, of):
+            self.of = of
+
+        def __getattr__(self, name):
+            assert name not in ("listFiles", "listLocatedStatus")
+            return getattr(self.of, name)
+
+    names = ["a=1/b=x%20y/part-0.parquet", "a=1/b=#é/part-1.parquet", "a=2/b=1/part 2.parquet", "a=2/b=1/_SUCCESS", "a=2/b=1/.part-3.parquet.crc", "plain"]
+    for n in names:
+        os.makedirs(os.path.dirname(f"{scratch}/t/{n}"), exist_ok=True)
+        open(f"{scratch}/t/{n}", "w").close()
+    os.makedirs(f"{scratch}/empty")
+    plain = fs._fs_path
+    monkeypatch.setattr(fs, "_fs_path", lambda *a: (Quick(plain(*a)[0]), plain(*a)[1]))
+    assert sorted(fs.files_below(spark, f"{scratch}/t")) == sorted([*names[:3], "plain"])
+    assert fs.files_below(spark, f"{scratch}/empty") == fs.files_below(spark, f"{scratch}/none") == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -80,14 +82,13 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def files_below(spark: SparkSession, path: str) -> list[str]:
-    """Paths, relative to ``path``, of all data files below it (names that don't start with ``_`` or ``.``)."""
+    """Paths, relative to ``path``, of all data files below it (names that don't start with ``_`` or ``.``).
+
+    Spark lists them: it asks for no permissions, for which a local folder starts a process a file.
+    """
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
         return []
     root = fs.getFileStatus(p).getPath().toUri().getPath().rstrip("/") + "/"
-    out, found = [], fs.listFiles(p, True)
-    while found.hasNext():
-        name = found.next().getPath().toUri().getPath().removeprefix(root)
-        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
-            out.append(name)
-    return out
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
+    return [unquote(urlparse(f).path).removeprefix(root) for f in found]
